@@ -10,7 +10,8 @@ from tablegate.functions.columns import COUNT, col, cols, none_null, repeat_rows
 from tablegate.plans.lanes import HotKeys, carried, lane_keys, spread, with_lane
 from tablegate.sources.tables import current
 
-_RANK_BLOCK = 1024
+_RANK_BLOCK = 128
+_WHOLE_RUNS = 4096
 
 
 # --- predicates on single rows ------------------------------------------------------------
@@ -61,33 +62,61 @@ def orphan_keys(df: DataFrame, spec: HistorySpec) -> DataFrame:
 
 
 # --- order of versions --------------------------------------------------------------------
+#
+# All checks below start from the same windows over the same exchange of keys, start, end and
+# flag, so several of them in one plan shuffle the table once.
+
+
+def _in_order(df: DataFrame, spec: HistorySpec, hot: HotKeys | None) -> DataFrame:
+    """Versions in order of start, end and flag, each with what surrounds it.
+
+    ``next_start`` is the start of the next version, ``_reach`` the latest end of the earlier
+    ones, ``_n`` the number of equal rows a row stands for.
+    """
+    keys, start, end = spec.keys, spec.start, spec.end
+    ordered = [start, end, *([spec.is_current] if spec.is_current in df.columns else [])]
+    rows = spread(df.select(*cols([*keys, *ordered])), keys, start, hot)
+    order = Window.partitionBy(*lane_keys(keys, hot)).orderBy(*cols(ordered))
+    following = F.lead(col(start)).over(order)
+    reach = F.max(col(end)).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    if not hot:
+        return rows.withColumns({"next_start": following, "_reach": reach})
+    rows = carried(rows, keys, F.min(col(start)), lambda t, w: F.lead(t).over(w), "_later")
+    rows = carried(
+        rows,
+        keys,
+        F.max(col(end)),
+        lambda t, w: F.max(t).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        "_before",
+    )
+    last_in_lane = F.lead(F.lit(True)).over(order).isNull()
+    return rows.withColumns(
+        {
+            "next_start": F.when(last_in_lane, F.col("_later")).otherwise(following),
+            "_reach": F.greatest(reach, F.col("_before")),
+        }
+    ).drop("_later", "_before")
+
+
+def _is_broken(spec: HistorySpec, next_start: Column) -> Column:
+    return ~col(spec.is_current) & next_start.isNotNull() & (col(spec.end) != next_start)
 
 
 def broken_links(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
     """``chain_continuity`` with equal rows merged into one row and their number."""
-    keys, start, end, flag = spec.keys, spec.start, spec.end, spec.is_current
-    rows = spread(df.select(*cols([*keys, start, end, flag])), keys, start, hot)
-    order = Window.partitionBy(*lane_keys(keys, hot)).orderBy(*cols([start, end, flag]))
-    following = F.lead(col(start)).over(order)
-    if hot:
-        last_in_lane = F.lead(F.lit(True)).over(order).isNull()
-        rows = carried(rows, keys, F.min(col(start)), lambda t, w: F.lead(t).over(w), "_later")
-        following = F.when(last_in_lane, F.col("_later")).otherwise(following)
-    rows = rows.withColumn("next_start", following)
+    rows = _in_order(df, spec, hot)
     if hot:
         # Of n equal rows all but the last are followed by a row with their own start.
         runs = F.array(
             F.struct(F.col("next_start").alias("at"), F.lit(1).cast("bigint").alias("n")),
-            F.struct(col(start).alias("at"), (F.col(COUNT) - 1).alias("n")),
+            F.struct(col(spec.start).alias("at"), (F.col(COUNT) - 1).alias("n")),
         )
-        rows = (
-            rows.withColumn("_run", F.explode(runs))
-            .withColumn("next_start", F.col("_run.at"))
-            .withColumn(COUNT, F.col("_run.n"))
-            .where(F.col(COUNT) > 0)
+        rows = rows.withColumn("_run", F.explode(runs)).withColumns(
+            {"next_start": F.col("_run.at"), COUNT: F.col("_run.n")}
         )
-    broken = ~col(flag) & F.col("next_start").isNotNull() & (col(end) != F.col("next_start"))
-    return rows.where(broken).select(*cols([*keys, start, end, "next_start", COUNT]))
+        rows = rows.where(F.col(COUNT) > 0)
+    broken = rows.where(_is_broken(spec, F.col("next_start")))
+    return broken.select(*cols([*spec.keys, spec.start, spec.end, "next_start", COUNT]))
 
 
 def chain_continuity(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
@@ -99,129 +128,140 @@ def chain_continuity(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = Non
     return repeat_rows(links) if hot else links.drop(COUNT)
 
 
+PROFILE = (
+    "duplicate_current",
+    "orphan_keys",
+    "null_start",
+    "null_end_on_closed",
+    "start_after_end",
+    "chain_continuity",
+)
+
+
+def history_profile(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
+    """One row with the number of violations of each check in ``PROFILE``.
+
+    The keys are grouped where the windows have already put them, so all six checks cost one
+    scan and one shuffle.
+    """
+    rows, n, none = _in_order(df, spec, hot), F.col(COUNT), F.lit(0).cast("bigint")
+
+    def times(condition: Column, count: Column = n) -> Column:
+        return F.sum(F.when(condition, count).otherwise(none))
+
+    broken = times(_is_broken(spec, F.col("next_start")), F.lit(1).cast("bigint"))
+    if hot:
+        broken = broken + times(_is_broken(spec, col(spec.start)), n - 1)
+    per_key = rows.groupBy(*cols(spec.keys)).agg(
+        times(col(spec.is_current)).alias("cnt"),
+        times(is_null_start(spec)).alias("null_start"),
+        times(is_open_closed(spec)).alias("null_end_on_closed"),
+        times(is_inverted(spec)).alias("start_after_end"),
+        broken.alias("chain_continuity"),
+    )
+    return per_key.agg(
+        F.count_if(F.col("cnt") > 1).alias("duplicate_current"),
+        F.count_if(F.col("cnt") == 0).alias("orphan_keys"),
+        *[F.coalesce(F.sum(c), none).alias(c) for c in PROFILE[2:]],
+    )
+
+
 # Two versions a and b of a key overlap when a.start < b.end, a.end > b.start and their starts
 # differ. With a the earlier one this means: b starts inside a, and b does not end before a
 # starts, which only an inverted b can do. The versions that start inside a are a contiguous
-# run in start order, so a pair of ranks describes all partners of a. Ranks give the number of
-# pairs without building one, and the pair join meets only rows that do belong together.
+# run in start order, so two ranks describe all partners of a. Ranks alone give the number of
+# pairs, and blocks of ranks bring together only rows that do pair up.
 
 
-def _ranges(df: DataFrame, spec: HistorySpec, open_end: bool) -> DataFrame:
-    """Rows that can overlap at all: keys, start, end, and the end to compare with."""
-    end = col(spec.end)
-    if open_end:
-        beyond = F.date_add(F.lit("9999-12-31").cast("date"), 1)
-        end = F.coalesce(end, beyond.cast(df.schema[spec.end].dataType))
-    rows = df.select(*cols([*spec.keys, spec.start, spec.end]), end.alias("_until"))
-    return rows.where(none_null([*spec.keys, spec.start, "_until"]))
+def _beyond(df: DataFrame, spec: HistorySpec) -> Column:
+    """A point in time after every regular end."""
+    return F.date_add(F.lit("9999-12-31").cast("date"), 1).cast(df.schema[spec.end].dataType)
 
 
-def _runs(
-    rows: DataFrame, spec: HistorySpec, hot: HotKeys | None, partner: Column, weighted: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Earlier versions with the run [_lo, _hi) of later ones inside, and those with their _rank.
+def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: bool) -> DataFrame:
+    """Earlier versions (_kind 0) with the run of later versions inside them, and those (_kind 1).
 
-    Only rows for which ``partner`` holds are ranked. Ranks count equal rows once, or as often
-    as they occur if ``weighted``.
+    The run is [_lo, _hi) in ranks; the rank of a later version is _hi - 1. The columns with
+    suffix _n count equal rows as often as they occur, those with suffix _v only inverted rows.
     """
     keys, start = spec.keys, spec.start
-    by_start = Window.partitionBy(*lane_keys(keys, hot)).orderBy(*cols([start, "_until"]))
-    reach_next = F.lead(col(start)).over(by_start)
-    reached = F.max("_until").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    if hot:
-        rows = carried(rows, keys, F.min(col(start)), lambda t, w: F.lead(t).over(w), "_later")
-        rows = carried(
-            rows,
-            keys,
-            F.max("_until"),
-            lambda t, w: F.max(t).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-            "_before",
-        )
-        reach_next = F.coalesce(reach_next, F.col("_later"))
-        reached = F.greatest(reached, F.col("_before"))
+    until = col(spec.end)
+    if open_end:
+        df = df.withColumn(spec.end, F.coalesce(until, _beyond(df, spec)))
+    rows = _in_order(df, spec, hot)
     # Most rows touch no other row and leave the plan here.
-    rows = (
-        rows.withColumn("_outer", F.coalesce(reach_next < F.col("_until"), F.lit(False)))
-        .withColumn("_inner", F.coalesce(reached > col(start), F.lit(False)) & partner)
-        .where(F.col("_outer") | F.col("_inner"))
-    )
-    if hot:
-        rows = rows.drop("_later", "_before")
-    unit = F.col(COUNT) if weighted else F.lit(1).cast("bigint")
-    none = F.lit(0).cast("bigint")
-    ranked = F.when(F.col("_inner"), unit).otherwise(none)
+    usable = none_null([*keys, start])
+    outer = F.coalesce(usable & (F.col("next_start") < until), F.lit(False))
+    inner = F.coalesce(usable & until.isNotNull() & (F.col("_reach") > col(start)), F.lit(False))
+    rows = rows.withColumns({"_outer": outer, "_inner": inner}).where(F.col("_outer") | F.col("_inner"))
 
     def earlier_lanes(t, w):
         return F.coalesce(F.sum(t).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    up_to_start = Window.partitionBy(*lane_keys(keys, hot)).orderBy(col(start))
-    lo = F.sum(ranked).over(up_to_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    if hot:
-        rows = carried(rows, keys, F.sum(ranked), earlier_lanes, "_base")
-        lo = lo + F.coalesce(F.col("_base"), F.lit(0))
-    rows = rows.withColumn("_lo", lo)
+    def running(frame: DataFrame, is_later: Column, window, prefix: str) -> DataFrame:
+        one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        parts = {"": F.when(is_later, one), "_v": F.when(is_later & (until < col(start)), one)}
+        if hot:
+            parts["_n"] = F.when(is_later, F.col(COUNT))
+        for suffix, unit in parts.items():
+            unit = F.coalesce(unit, none)
+            total = F.sum(unit).over(window)
+            if hot:
+                frame = carried(frame, keys, F.sum(unit), earlier_lanes, "_base")
+                total = total + F.coalesce(F.col("_base"), none)
+            frame = frame.withColumn(prefix + suffix, total).drop("_base")
+        return frame
+
+    by_start = Window.partitionBy(*lane_keys(keys, hot)).orderBy(col(start))
+    upto = by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = running(rows, F.col("_inner"), upto, "_lo")
     events = F.filter(
         F.array(
-            F.when(F.col("_outer"), F.struct(F.col("_until").alias("at"), F.lit(0).alias("kind"))),
+            F.when(F.col("_outer"), F.struct(until.alias("at"), F.lit(0).alias("kind"))),
             F.when(F.col("_inner"), F.struct(col(start).alias("at"), F.lit(1).alias("kind"))),
         ),
         lambda e: e.isNotNull(),
     )
-    base = [*cols([*keys, start, spec.end]), F.col("_until"), F.col(COUNT)]
-    rows = rows.select(*base, "_lo", F.explode(events).alias("_event")).select(
-        *base, "_lo", F.col("_event.at").alias("_at"), F.col("_event.kind").alias("_kind")
+    los = [c for c in rows.columns if c.startswith("_lo")]
+    base = [*cols([*keys, start, spec.end]), F.col(COUNT), *los]
+    rows = rows.select(*base, F.explode(events).alias("_event")).select(
+        *base, F.col("_event.at").alias("_at"), F.col("_event.kind").alias("_kind")
     )
-    counted = F.when(F.col("_kind") == 1, unit).otherwise(none)
     if hot:
         rows = with_lane(rows, keys, "_at", hot)
     by_event = Window.partitionBy(*lane_keys(keys, hot)).orderBy(
-        F.col("_at"), F.col("_kind"), *cols([start, "_until", spec.end])
+        F.col("_at"), F.col("_kind"), *cols([start, spec.end])
     )
-    seen = F.sum(counted).over(by_event.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if hot:
-        rows = carried(rows, keys, F.sum(counted), earlier_lanes, "_base")
-        seen = seen + F.coalesce(F.col("_base"), F.lit(0))
-    rows = rows.withColumn("_seen", seen)
-    outer = rows.where((F.col("_kind") == 0) & (F.col("_seen") > F.col("_lo"))).select(
-        *base, F.col("_lo"), F.col("_seen").alias("_hi")
-    )
-    inner = rows.where(F.col("_kind") == 1).select(*base, (F.col("_seen") - unit).alias("_rank"))
-    return outer, inner
+    upto = by_event.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = running(rows, F.col("_kind") == 1, upto, "_hi")
+    return rows.where((F.col("_kind") == 1) | (F.col("_hi") > F.col("_lo")))
 
 
-def _pairs(rows: DataFrame, spec: HistorySpec, hot: HotKeys | None, partner: Column) -> DataFrame:
-    """(keys, a_start, a_end, b_start, b_end, count) with a the earlier version."""
-    keys = spec.keys
-    outer, inner = _runs(rows, spec, hot, partner, weighted=False)
-    block = F.explode(
-        F.sequence(F.floor(F.col("_lo") / _RANK_BLOCK), F.floor((F.col("_hi") - 1) / _RANK_BLOCK))
-    )
-    a = outer.select(
-        *[col(k).alias(f"_a{i}") for i, k in enumerate(keys)],
-        col(spec.start).alias("a_start"),
-        col(spec.end).alias("a_end"),
-        F.col(COUNT).alias("_a_n"),
-        "_lo",
-        "_hi",
-        block.alias("_a_block"),
-    )
-    b = inner.select(
-        *cols(keys),
-        col(spec.start).alias("b_start"),
-        col(spec.end).alias("b_end"),
-        F.col("_until").alias("_b_until"),
-        F.col(COUNT).alias("_b_n"),
-        "_rank",
-        F.floor(F.col("_rank") / _RANK_BLOCK).alias("_b_block"),
-    )
-    match = F.col("_a_block") == F.col("_b_block")
-    for i, k in enumerate(keys):
-        match = match & (F.col(f"_a{i}") == col(k))
-    match = match & (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
-    match = match & (F.col("a_start") < F.col("_b_until"))
-    return a.join(b, match).select(
-        *cols(keys), "a_start", "a_end", "b_start", "b_end", (F.col("_a_n") * F.col("_b_n")).alias(COUNT)
+def _last_block() -> Column:
+    return F.floor((F.col("_hi") - 1) / _RANK_BLOCK)
+
+
+def _run_blocks() -> Column:
+    return F.sequence(F.floor(F.col("_lo") / _RANK_BLOCK), _last_block())
+
+
+def _with_partners(rows: DataFrame, spec: HistorySpec, hot: HotKeys | None, blocks: Column) -> DataFrame:
+    """Earlier versions, once for each of their ``blocks``, with the later versions of that block."""
+    own = F.when(F.col("_kind") == 1, F.array(_last_block())).otherwise(blocks)
+    rows = rows.withColumn("_block", F.explode(own))
+    if hot:
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(parts, *cols(spec.keys), F.col("_block"))
+    later = F.struct(
+        (F.col("_hi") - 1).alias("rank"),
+        col(spec.start).alias("start"),
+        col(spec.end).alias("end"),
+        F.col(COUNT).alias("n"),
     )
+    block = Window.partitionBy(*cols(spec.keys), F.col("_block"))
+    near = F.collect_list(F.when(F.col("_kind") == 1, later)).over(block)
+    inside = F.filter("_near", lambda b: (b["rank"] >= F.col("_lo")) & (b["rank"] < F.col("_hi")))
+    return rows.withColumn("_near", near).where(F.col("_kind") == 0).withColumn("_near", inside)
 
 
 def overlapping_ranges(
@@ -232,37 +272,42 @@ def overlapping_ranges(
     A NULL end never overlaps, unless ``open_end`` makes it unlimited. Equal starts and ranges
     that only touch do not overlap.
     """
-    rows = spread(_ranges(df, spec, open_end), spec.keys, spec.start, hot)
-    found = _pairs(rows, spec, hot, F.lit(True))
-    sides = ["a_start", "a_end", "b_start", "b_end"]
-    turned = ["b_start", "b_end", "a_start", "a_end"]
+    start, end = col(spec.start), col(spec.end)
+    rows = _with_partners(_ranked(df, spec, hot, open_end), spec, hot, _run_blocks())
+    found = F.filter("_near", lambda b: b["end"] > start)
+    rows = rows.select(*cols(spec.keys), start, end, F.col(COUNT), F.explode(found).alias("_b"))
+    a, b = (start, end), (F.col("_b.start"), F.col("_b.end"))
+    names = ("a_start", "a_end", "b_start", "b_end")
     both = F.array(
-        F.struct(*[F.col(s).alias(n) for s, n in zip(sides, sides)]),
-        F.struct(*[F.col(s).alias(n) for s, n in zip(turned, sides)]),
-    )
-    out = found.select(*cols(spec.keys), F.col(COUNT), F.explode(both).alias("_p")).select(
-        *cols(spec.keys), *[F.col(f"_p.{s}").alias(s) for s in sides], F.col(COUNT)
+        F.struct(*[c.alias(n) for c, n in zip((*a, *b), names)]),
+        F.struct(*[c.alias(n) for c, n in zip((*b, *a), names)]),
     )
+    out = rows.select(
+        *cols(spec.keys), (F.col(COUNT) * F.col("_b.n")).alias(COUNT), F.explode(both).alias("_p")
+    ).select(*cols(spec.keys), *[F.col(f"_p.{n}").alias(n) for n in names], F.col(COUNT))
+    if open_end:
+        out = out.withColumns({n: F.nullif(F.col(n), _beyond(df, spec)) for n in ("a_end", "b_end")})
     return repeat_rows(out) if hot else out.drop(COUNT)
 
 
 def overlap_counts(
     df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None, open_end: bool = False
 ) -> DataFrame:
-    """(keys, count) rows whose counts add up to the rows of ``overlapping_ranges``.
+    """(keys, count): rows of ``overlapping_ranges`` per key, without building the pairs.
 
-    Pairs with an ordered later version come from ranks alone. Only inverted later versions,
-    which have to be compared one by one, are joined.
+    The length of a run is the number of partners but for inverted ones that end too early.
+    Only runs with inverted versions in them are looked into.
     """
-    keys = spec.keys
-    ranges = _ranges(df, spec, open_end)
-    rows = spread(ranges, keys, spec.start, hot)
-    ordered = F.col("_until") >= col(spec.start)
-    outer, _ = _runs(rows, spec, hot, ordered, weighted=True)
-    by_rank = outer.select(
-        *cols(keys), (F.col(COUNT) * (F.col("_hi") - F.col("_lo")) * 2).alias(COUNT)
-    )
-    inverted = ranges.where(~ordered).select(*cols(keys)).distinct()
-    suspects = spread(ranges.join(inverted, list(keys), "left_semi"), keys, spec.start, hot)
-    joined = _pairs(suspects, spec, hot, ~ordered).select(*cols(keys), (F.col(COUNT) * 2).alias(COUNT))
-    return by_rank.unionByName(joined)
+    rows = _ranked(df, spec, hot, open_end)
+    start, end = col(spec.start), col(spec.end)
+    rows = rows.where((F.col("_kind") == 0) | (end < start))
+    # A run as a whole needs no neighbours: it gets a block of its own below zero, any will do.
+    whole = F.array(-1 - F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS)))
+    looked_into = F.when(F.col("_hi_v") > F.col("_lo_v"), F.concat(whole, _run_blocks())).otherwise(whole)
+    rows = _with_partners(rows, spec, hot, looked_into)
+    run = F.col("_hi_n") - F.col("_lo_n") if hot else F.col("_hi") - F.col("_lo")
+    early = F.filter("_near", lambda b: b["end"] <= start)
+    missed = F.aggregate(early, F.lit(0).cast("bigint"), lambda total, b: total + b["n"])
+    pairs = F.when(F.col("_block") < 0, run).otherwise(-missed) * F.col(COUNT) * 2
+    per_key = rows.groupBy(*cols(spec.keys)).agg(F.sum(pairs).alias(COUNT))
+    return per_key.where(F.col(COUNT) > 0)

@@ -4,9 +4,9 @@ A group computes the result rows of one or more checks and can list the keys tha
 them. Groups do nothing until asked and hold no results.
 
 * Row predicates of a table are counted together in one aggregation without a shuffle.
-* Checks on current versions per key share one grouping by key.
+* History checks are counted in one pass over the versions in order, with one shuffle by key.
 * Reconciliations read each side once for all their metrics.
-* Checks that need a join or an order of versions have a plan of their own.
+* Checks that need a join, and overlaps, have a plan of their own.
 """
 
 from __future__ import annotations
@@ -175,6 +175,29 @@ class FrameGroup(Group):
         )
 
 
+@dataclass(frozen=True)
+class ProfileGroup(Group):
+    """The history checks that one pass over the ordered versions can count.
+
+    ``measures`` names the count of each check; ``parts`` are the same checks one by one, for
+    listing keys and for telling which check is at fault.
+    """
+
+    measures: tuple[str, ...]
+    parts: tuple[Group, ...]
+    build: Callable[[], DataFrame]
+
+    def results(self) -> DataFrame:
+        counts = self.build().select(*[F.col(m).alias(f"c{i}") for i, m in enumerate(self.measures)])
+        return _counted(counts, self.checks)
+
+    def offenders(self, names: Sequence[str]) -> DataFrame | None:
+        return offenders(self.parts, names)
+
+    def split(self) -> list[Group]:
+        return [single for part in self.parts for single in part.split()]
+
+
 @dataclass(frozen=True)
 class ReconGroup(Group):
     """Two-sided comparisons; the frame builder takes the checks to compute."""
@@ -304,11 +327,19 @@ def history_groups(spec: TableSpec, tables: Tables, hot: HotKeys | None = None)
         f"{scan} WHERE NOT {h.is_current} AND {h.end} <> LEAD({h.start}) OVER "
         f"(PARTITION BY {_csv(h.keys)} ORDER BY {h.start}, {h.end}, {h.is_current})",
     )
-    return [
+    parts = (
         KeyGroup(per_key, df, h.keys, h),
         RowGroup(per_row, df, h.keys),
-        FrameGroup((overlap,), h.keys, lambda: history.overlap_counts(df, h, hot)),
         FrameGroup((chain,), h.keys, lambda: history.broken_links(df, h, hot)),
+    )
+    return [
+        ProfileGroup(
+            (*per_key, *per_row, chain),
+            history.PROFILE,
+            parts,
+            lambda: history.history_profile(df, h, hot),
+        ),
+        FrameGroup((overlap,), h.keys, lambda: history.overlap_counts(df, h, hot)),
     ]
 
 

@@ -14,9 +14,11 @@ The sketch only steers the layout. Results are the same whatever keys it reports
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from math import ceil, sqrt
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +78,15 @@ def find_hot_keys(
     return HotKeys(splits, df.schema[spec.start].dataType)
 
 
+def find_all_hot_keys(tables: Mapping[str, tuple[DataFrame, HistorySpec]]) -> dict[str, HotKeys]:
+    """``find_hot_keys`` for several tables, their jobs in flight together."""
+    if not tables:
+        return {}
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = {n: pool.submit(inheritable_thread_target(find_hot_keys), *t) for n, t in tables.items()}
+        return {n: j.result() for n, j in jobs.items()}
+
+
 def _split_table(df: DataFrame, hot: HotKeys) -> DataFrame:
     """(hash, split points in groups of equal width), a few rows that may be broadcast."""
     rows = []

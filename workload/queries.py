@@ -17,7 +17,7 @@ from tablegate.config import ForeignKey, HistorySpec, Metric
 from tablegate.functions.columns import COUNT
 from tablegate.operators import completeness, history, recon, rules
 from tablegate.plans import checks as plan
-from tablegate.plans.lanes import find_hot_keys
+from tablegate.plans.lanes import find_all_hot_keys, find_hot_keys
 from tablegate.plans.results import failure_sample, run_summary
 from tablegate.sources.tables import batch_slice, current
 from workload import tables as t
@@ -291,24 +291,22 @@ def recon_snapshot(spark, sf):
 _RESULT = ("check_name", "status", "severity", "failure_count")
 
 
-def _groups(spark, sf, tier: int) -> list[plan.Group]:
-    tables = t.tables(spark, sf)
-    out = []
-    for spec in t.REGISTRY:
-        if tier == 1:
-            out += plan.completeness_groups(spec, tables, t.BATCH)
-        elif tier == 2:
-            hot = find_hot_keys(tables.curated(spec.name), spec.history)
-            out += plan.history_groups(spec, tables, hot)
-        elif tier == 3:
-            out += plan.rule_groups(spec, tables, t.REGISTRY.__getitem__)
-        else:
-            out += plan.recon_groups(spec, tables, t.source(spark, sf), 1.0)
-    return out
+def _groups(spark, sf, *tiers: int) -> list[plan.Group]:
+    tables, source = t.tables(spark, sf), t.source(spark, sf)
+    hot = {}
+    if 2 in tiers:
+        hot = find_all_hot_keys({s.name: (tables.curated(s.name), s.history) for s in t.REGISTRY})
+    made = {
+        1: lambda spec: plan.completeness_groups(spec, tables, t.BATCH),
+        2: lambda spec: plan.history_groups(spec, tables, hot[spec.name]),
+        3: lambda spec: plan.rule_groups(spec, tables, t.REGISTRY.__getitem__),
+        4: lambda spec: plan.recon_groups(spec, tables, source, 1.0),
+    }
+    return [g for n in tiers for spec in t.REGISTRY for g in made[n](spec)]
 
 
 def _results(spark, sf, *tiers: int) -> DataFrame:
-    return plan.check_results([g for n in tiers for g in _groups(spark, sf, n)])
+    return plan.check_results(_groups(spark, sf, *tiers))
 
 
 @query
@@ -333,8 +331,7 @@ def check_results_recon(spark, sf):
     )
 
 
-@query
-def failure_sample_order(spark, sf):
+def _failure_sample(spark, sf):
     """Samples of the history and rule checks of the order table that failed."""
     tables = t.tables(spark, sf)
     spec = t.REGISTRY["order"]
@@ -343,16 +340,15 @@ def failure_sample_order(spark, sf):
     return failure_sample(plan.offenders(groups))
 
 
-QUERIES["failure_sample"] = QUERIES.pop("failure_sample_order")
+QUERIES["failure_sample"] = _failure_sample
 
 
-@query
-def run_summary_tiers(spark, sf):
+def _run_summary(spark, sf):
     rows = run_summary(_results(spark, sf, 1, 2, 3, 4), ("tier",))
     return _big(rows, "tier")
 
 
-QUERIES["run_summary"] = QUERIES.pop("run_summary_tiers")
+QUERIES["run_summary"] = _run_summary
 
 
 @query
