@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tablegate.config import HistorySpec
 from tablegate.functions.columns import COUNT, col, cols, none_null, repeat_rows
-from tablegate.plans.lanes import HotKeys, carried, lane_keys, spread, with_lane
+from tablegate.plans.lanes import (
+    HotKeys,
+    carried,
+    following,
+    lane_keys,
+    largest_before,
+    spread,
+    sum_before,
+    with_lane,
+)
 from tablegate.sources.tables import current
 
 _RANK_BLOCK = 128
@@ -77,22 +86,19 @@ def _in_order(df: DataFrame, spec: HistorySpec, hot: HotKeys | None) -> DataFram
     ordered = [start, end, *([spec.is_current] if spec.is_current in df.columns else [])]
     rows = spread(df.select(*cols([*keys, *ordered])), keys, start, hot)
     order = Window.partitionBy(*lane_keys(keys, hot)).orderBy(*cols(ordered))
-    following = F.lead(col(start)).over(order)
+    next_start = F.lead(col(start)).over(order)
     reach = F.max(col(end)).over(order.rowsBetween(Window.unboundedPreceding, -1))
     if not hot:
-        return rows.withColumns({"next_start": following, "_reach": reach})
-    rows = carried(rows, keys, F.min(col(start)), lambda t, w: F.lead(t).over(w), "_later")
+        return rows.withColumns({"next_start": next_start, "_reach": reach})
     rows = carried(
         rows,
         keys,
-        F.max(col(end)),
-        lambda t, w: F.max(t).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        "_before",
+        {"_later": (F.min(col(start)), following), "_before": (F.max(col(end)), largest_before)},
     )
     last_in_lane = F.lead(F.lit(True)).over(order).isNull()
     return rows.withColumns(
         {
-            "next_start": F.when(last_in_lane, F.col("_later")).otherwise(following),
+            "next_start": F.when(last_in_lane, F.col("_later")).otherwise(next_start),
             "_reach": F.greatest(reach, F.col("_before")),
         }
     ).drop("_later", "_before")
@@ -195,22 +201,20 @@ def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: boo
     inner = F.coalesce(usable & until.isNotNull() & (F.col("_reach") > col(start)), F.lit(False))
     rows = rows.withColumns({"_outer": outer, "_inner": inner}).where(F.col("_outer") | F.col("_inner"))
 
-    def earlier_lanes(t, w):
-        return F.coalesce(F.sum(t).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    def running(frame: DataFrame, is_later: Column, window, prefix: str) -> DataFrame:
+    def running(frame: DataFrame, is_later: Column, window: WindowSpec, prefix: str) -> DataFrame:
         one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        parts = {"": F.when(is_later, one), "_v": F.when(is_later & (until < col(start)), one)}
+        units = {"": F.when(is_later, one), "_v": F.when(is_later & (until < col(start)), one)}
         if hot:
-            parts["_n"] = F.when(is_later, F.col(COUNT))
-        for suffix, unit in parts.items():
-            unit = F.coalesce(unit, none)
-            total = F.sum(unit).over(window)
-            if hot:
-                frame = carried(frame, keys, F.sum(unit), earlier_lanes, "_base")
-                total = total + F.coalesce(F.col("_base"), none)
-            frame = frame.withColumn(prefix + suffix, total).drop("_base")
-        return frame
+            units["_n"] = F.when(is_later, F.col(COUNT))
+        units = {suffix: F.coalesce(u, none) for suffix, u in units.items()}
+        if not hot:
+            return frame.withColumns({prefix + x: F.sum(u).over(window) for x, u in units.items()})
+        frame = carried(frame, keys, {f"_base{x}": (F.sum(u), sum_before) for x, u in units.items()})
+        sums = {
+            prefix + x: F.sum(u).over(window) + F.coalesce(F.col(f"_base{x}"), none)
+            for x, u in units.items()
+        }
+        return frame.withColumns(sums).drop(*[f"_base{x}" for x in units])
 
     by_start = Window.partitionBy(*lane_keys(keys, hot)).orderBy(col(start))
     upto = by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)

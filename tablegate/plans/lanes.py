@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from math import ceil, sqrt
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,25 +143,42 @@ def lane_keys(keys: Sequence[str], hot: HotKeys | None) -> list[Column]:
 def carried(
     df: DataFrame,
     keys: Sequence[str],
-    total: Column,
-    over: Callable[[str, object], Column],
-    name: str,
+    totals: Mapping[str, tuple[Column, Callable[[str, WindowSpec], Column]]],
 ) -> DataFrame:
-    """Add ``name``: ``over`` applied to the per-lane ``total`` in lane order of each hot key.
+    """Add a column per entry of ``totals``: a lane total seen from the other lanes of its key.
 
-    The carried table has one row per lane, so its size is bounded by the number of lanes and
-    it may be broadcast. Rows of other keys get NULL.
+    An entry is an aggregate per lane and the window function to apply to it over the lanes of
+    a key in order. The table of lanes has one row per lane, so its size is bounded by the
+    number of lanes and it may be broadcast. Rows of other keys get NULL.
+
+    All totals of a step share one table, as each table computes its input a second time.
     """
     names = [f"_carry_{i}" for i in range(len(keys))]
     order = Window.partitionBy(*names).orderBy("_carry_lane")
     lanes = (
         df.where(F.col(LANE) != _COLD)
         .groupBy(*[col(k).alias(n) for k, n in zip(keys, names)], F.col(LANE).alias("_carry_lane"))
-        .agg(total.alias("_total"))
-        .withColumn(name, over("_total", order))
-        .drop("_total")
+        .agg(*[total.alias(f"_total{name}") for name, (total, _) in totals.items()])
+        .select(
+            *names,
+            "_carry_lane",
+            *[over(f"_total{name}", order).alias(name) for name, (_, over) in totals.items()],
+        )
     )
     match = F.col(LANE) == F.col("_carry_lane")
     for k, n in zip(keys, names):
         match = match & col(k).eqNullSafe(F.col(n))
     return df.join(F.broadcast(lanes), match, "left").drop("_carry_lane", *names)
+
+
+def following(total: str, lanes: WindowSpec) -> Column:
+    """The total of the next lane."""
+    return F.lead(total).over(lanes)
+
+
+def largest_before(total: str, lanes: WindowSpec) -> Column:
+    return F.max(total).over(lanes.rowsBetween(Window.unboundedPreceding, -1))
+
+
+def sum_before(total: str, lanes: WindowSpec) -> Column:
+    return F.coalesce(F.sum(total).over(lanes.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -35,7 +35,7 @@ def rows_of(seed: int, n: int, span: int, long: bool = False) -> list[tuple]:
     return out + copies
 
 
-CASES = [(1, 60, 30, False), (2, 200, 60, False), (3, 150, 400, True), (4, 120, 5, False), (5, 40, 3, True)]
+CASES = [(2, 200, 60, False), (3, 150, 400, True), (4, 120, 5, False)]
 
 
 @pytest.fixture(params=CASES, ids=lambda c: f"seed{c[0]}", scope="module")
