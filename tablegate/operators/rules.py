@@ -95,14 +95,18 @@ def foreign_key(
 ) -> DataFrame:
     """Current rows whose reference has no current parent: (keys, reference). NULL passes.
 
-    Rows are picked by the set of dangling values. It is exchanged once more so that its real
-    size is known at run time: the adaptive planner then broadcasts it if it is small, and
-    otherwise has two exchanged sides of which it may split a skewed one.
+    Rows are picked by the set of dangling values. The hash in the join condition makes the
+    planner exchange that set for the join, which the partitioning of its anti-join would
+    otherwise spare. Its real size is thus known at run time: the adaptive planner broadcasts
+    it if it is small, and else has two exchanged sides and splits a skewed reference.
     """
-    dangling = dangling_values(child, parent, spec, fk, parent_spec).select("_value").repartition("_value")
+    dangling = dangling_values(child, parent, spec, fk, parent_spec).select(
+        "_value", F.xxhash64("_value").alias("_hash")
+    )
     out = [*spec.keys, *([] if fk.column in spec.keys else [fk.column])]
     rows = current(child, spec).select(*cols(out))
-    return rows.join(dangling, col(fk.column) == F.col("_value"), "left_semi")
+    match = (F.xxhash64(col(fk.column)) == F.col("_hash")) & (col(fk.column) == F.col("_value"))
+    return rows.join(dangling, match, "left_semi")
 
 
 def conditional_rule(df: DataFrame, spec: HistorySpec, predicate: str) -> DataFrame:

@@ -187,13 +187,13 @@ class Pipeline:
                 failing[name].failure_sample = text
         return rows
 
-    @staticmethod
-    def _each(items: Sequence, work, options: RunOptions) -> list:
+    def _each(self, items: Sequence, work, options: RunOptions) -> list:
         """Results of ``work`` on each item, with a few Spark jobs in flight at a time."""
         if not items:
             return []
+        work = inheritable_thread_target(self.spark)(work)
         with ThreadPoolExecutor(max(1, options.parallel_jobs)) as pool:
-            return [f.result() for f in [pool.submit(inheritable_thread_target(work), i) for i in items]]
+            return list(pool.map(work, items))
 
 
 def _guarded(sample):

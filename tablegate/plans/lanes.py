@@ -9,6 +9,9 @@ cuts each hot key into lanes, ranges of start dates that are windowed separately
 window plan.
 
 The sketch only steers the layout. Results are the same whatever keys it reports.
+
+Lanes cannot part versions with equal starts. Equal rows are merged before they are shuffled,
+so such a lane holds at most one row per distinct pair of end and flag.
 """
 
 from __future__ import annotations
@@ -82,8 +85,10 @@ def find_all_hot_keys(tables: Mapping[str, tuple[DataFrame, HistorySpec]]) -> di
     """``find_hot_keys`` for several tables, their jobs in flight together."""
     if not tables:
         return {}
+    session = next(iter(tables.values()))[0].sparkSession
+    find = inheritable_thread_target(session)(find_hot_keys)
     with ThreadPoolExecutor(len(tables)) as pool:
-        jobs = {n: pool.submit(inheritable_thread_target(find_hot_keys), *t) for n, t in tables.items()}
+        jobs = {n: pool.submit(find, *t) for n, t in tables.items()}
         return {n: j.result() for n, j in jobs.items()}
 
 
