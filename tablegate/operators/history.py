@@ -21,6 +21,7 @@ from tablegate.sources.tables import current
 
 _RANK_BLOCK = 128
 _WHOLE_RUNS = 4096
+_MAX_LEVEL = 40
 
 
 # --- predicates on single rows ------------------------------------------------------------
@@ -299,19 +300,64 @@ def overlap_counts(
 ) -> DataFrame:
     """(keys, count): rows of ``overlapping_ranges`` per key, without building the pairs.
 
-    The length of a run is the number of partners but for inverted ones that end too early.
-    Only runs with inverted versions in them are looked into.
+    The length of a run is the number of partners, less the inverted versions in it that end
+    no later than the run's owner starts. Those are counted in blocks of 1, 2, 4, ... ranks:
+    each run is put together from a few blocks, and within a block a running count in order of
+    time answers all runs at once. The work grows with n log n in the worst case.
     """
-    rows = _ranked(df, spec, hot, open_end)
     start, end = col(spec.start), col(spec.end)
+    rows = _ranked(df, spec, hot, open_end)
+    if hot:
+        levels, spread_over = F.lit(_MAX_LEVEL), F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS))
+    else:
+        highest = F.max("_hi").over(Window.partitionBy(*cols(spec.keys)))
+        rows, spread_over = rows.withColumn("_highest", highest), F.lit(0).cast("bigint")
+        levels = _top_bit(F.col("_highest"))
     rows = rows.where((F.col("_kind") == 0) | (end < start))
-    # A run as a whole needs no neighbours: it gets a block of its own below zero, any will do.
-    whole = F.array(-1 - F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS)))
-    looked_into = F.when(F.col("_hi_v") > F.col("_lo_v"), F.concat(whole, _run_blocks())).otherwise(whole)
-    rows = _with_partners(rows, spec, hot, looked_into)
+
+    def part(level: Column, block: Column, sign: int) -> Column:
+        return F.struct(level.cast("int").alias("level"), block.alias("block"), F.lit(sign).alias("sign"))
+
+    def shifted(value: Column, by: Column) -> Column:
+        return F.call_function("shiftright", value, by)
+
+    def ranks_below(bound: Column, sign: int) -> Column:
+        """The blocks that make up the ranks below ``bound``, one per set bit."""
+        bits = F.filter(F.sequence(F.lit(0), _top_bit(bound)), lambda j: F.getbit(bound, j) == 1)
+        return F.transform(bits, lambda j: part(j, shifted(bound, j) - 1, sign))
+
+    own_blocks = F.transform(F.sequence(F.lit(0), levels), lambda j: part(j, shifted(F.col("_hi") - 1, j), 0))
+    whole = F.array(part(F.lit(-1), spread_over, 0))
+    looked_into = F.concat(whole, ranks_below(F.col("_hi"), 1), ranks_below(F.col("_lo"), -1))
+    parts = (
+        F.when(F.col("_kind") == 1, own_blocks)
+        .when(F.col("_hi_v") > F.col("_lo_v"), looked_into)
+        .otherwise(whole)
+    )
+    rows = rows.withColumn("_part", F.explode(parts)).withColumns(
+        {"_level": F.col("_part.level"), "_block": F.col("_part.block"), "_sign": F.col("_part.sign")}
+    )
+    if hot:
+        shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(shuffles, *cols(spec.keys), F.col("_level"), F.col("_block"))
+    is_later = F.col("_kind") == 1
+    in_time = Window.partitionBy(*cols(spec.keys), F.col("_level"), F.col("_block")).orderBy(
+        F.when(is_later, end).otherwise(start), F.col("_kind").desc()
+    )
+    too_early = F.sum(F.when(is_later, F.col(COUNT)).otherwise(F.lit(0))).over(
+        in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     run = F.col("_hi_n") - F.col("_lo_n") if hot else F.col("_hi") - F.col("_lo")
-    early = F.filter("_near", lambda b: b["end"] <= start)
-    missed = F.aggregate(early, F.lit(0).cast("bigint"), lambda total, b: total + b["n"])
-    pairs = F.when(F.col("_block") < 0, run).otherwise(-missed) * F.col(COUNT) * 2
-    per_key = rows.groupBy(*cols(spec.keys)).agg(F.sum(pairs).alias(COUNT))
+    partners = F.when(F.col("_level") < 0, run).otherwise(-F.col("_sign") * F.col("_early"))
+    per_key = (
+        rows.withColumn("_early", too_early)
+        .where(~is_later)
+        .groupBy(*cols(spec.keys))
+        .agg(F.sum(partners * F.col(COUNT) * 2).alias(COUNT))
+    )
     return per_key.where(F.col(COUNT) > 0)
+
+
+def _top_bit(value: Column) -> Column:
+    """Position of the highest set bit, 0 for zero."""
+    return F.length(F.bin(value)) - 1

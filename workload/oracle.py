@@ -430,8 +430,9 @@ def oracle_sql() -> dict[str, str]:
     order, line = ["silver_order"], ["silver_order_line"]
     result = "check_name, status, severity, failure_count"
     line_key = "order_id, CAST(line_number AS BIGINT) AS line_number"
-    spans = """SELECT event_type, user_id, CAST(ts AS DATE) AS s,
-        CAST(CAST(ts AS DATE) + CAST(event_id % 4 - 1 AS INT) AS DATE) AS e FROM events"""
+    span_pairs = """WITH spans AS MATERIALIZED (SELECT event_type, {s} AS s, {e} AS e FROM events)
+        SELECT a.event_type, count(*) AS pairs FROM spans a JOIN spans b ON a.event_type = b.event_type
+        AND a.s < b.e AND a.e > b.s AND a.s <> b.s GROUP BY a.event_type"""
     return {
         "scan_batch_slice": _with(["bronze_order"], "SELECT * FROM bronze_order WHERE _batch_id = 'B1'"),
         "scan_current": _with(
@@ -456,9 +457,10 @@ def oracle_sql() -> dict[str, str]:
             line,
             f"SELECT {line_key}, a_start, a_end, b_start, b_end FROM ({v_overlap('order_line')})",
         ),
-        "overlap_pairs_user_spans": f"WITH spans AS MATERIALIZED ({spans}) SELECT a.event_type, a.user_id, count(*) AS pairs "
-        "FROM spans a JOIN spans b ON a.event_type = b.event_type AND a.user_id = b.user_id "
-        "AND a.s < b.e AND a.e > b.s AND a.s <> b.s GROUP BY ALL",
+        "overlap_counts_event_spans": span_pairs.format(
+            s="CAST(ts AS DATE)", e="CAST(CAST(ts AS DATE) + CAST(event_id % 4 - 1 AS INT) AS DATE)"
+        ),
+        "overlap_counts_event_times": span_pairs.format(s="ts", e="ts + to_hours(CAST(event_id % 7 - 2 AS INT))"),
         "chain_continuity": _with(order, v_chain("order")),
         "chain_continuity_customer": _with(["silver_customer"], v_chain("customer")),
         "null_start": _with(order, v_where("order", NULL_START)),

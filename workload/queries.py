@@ -130,19 +130,32 @@ def overlap_pairs_order_line(spark, sf):
 
 
 @query
-def overlap_pairs_user_spans(spark, sf):
-    """Few keys with many versions each: an event is a version that holds for a day or more."""
+def overlap_counts_event_spans(spark, sf):
+    """A handful of keys that hold all rows: an event is a version that lasts some days, and a
+    quarter of them end before they start."""
     e = t.read(spark, sf, "events")
     day = F.col("ts").cast("date")
     spans = e.select(
         "event_type",
-        "user_id",
         day.alias("effective_start_date"),
         F.date_add(day, (F.col("event_id") % 4).cast("int") - 1).alias("effective_end_date"),
     )
-    spec = HistorySpec(("event_type", "user_id"))
+    spec = HistorySpec(("event_type",))
     counts = history.overlap_counts(spans, spec, find_hot_keys(spans, spec))
-    return counts.groupBy(*spec.keys).agg(F.sum(COUNT).alias("pairs"))
+    return counts.withColumnRenamed(COUNT, "pairs")
+
+
+@query
+def overlap_counts_event_times(spark, sf):
+    """The same by the second, so that hardly any two rows are equal."""
+    e = t.read(spark, sf, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    length = F.make_dt_interval(hours=(F.col("event_id") % 7).cast("int") - 2)
+    spans = e.select(
+        "event_type", F.col("at").alias("effective_start_date"), (F.col("at") + length).alias("effective_end_date")
+    )
+    spec = HistorySpec(("event_type",))
+    counts = history.overlap_counts(spans, spec, find_hot_keys(spans, spec))
+    return counts.withColumnRenamed(COUNT, "pairs")
 
 
 def _chain(df: DataFrame, spec: HistorySpec) -> DataFrame:
