@@ -19,7 +19,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from math import ceil, sqrt
+from functools import reduce
+from math import ceil, log2, sqrt
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -34,6 +35,7 @@ LANE_ROWS = 1_000_000
 LANE = "_lane"
 _HASH = "_key_hash"
 _COLD = -1
+_CUTTABLE = (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType)
 _SKETCH_GROUPS = 64
 _SKETCH_TOP = 100
 _SKETCH_ITEMS = 4096
@@ -43,7 +45,8 @@ _SKETCH_ITEMS = 4096
 class HotKeys:
     """Hashes of the hot keys, each with ascending split points of the start column.
 
-    Holds at most ``_SKETCH_GROUPS * _SKETCH_TOP`` keys and one split per ``lane_rows`` rows.
+    Holds at most ``_SKETCH_GROUPS * _SKETCH_TOP`` keys and about one split per ``lane_rows``
+    rows of a hot key, two at most.
     """
 
     splits: Mapping[int, Sequence] = field(default_factory=dict)
@@ -56,7 +59,14 @@ class HotKeys:
 def find_hot_keys(
     df: DataFrame, spec: HistorySpec, hot_rows: int = HOT_ROWS, lane_rows: int = LANE_ROWS
 ) -> HotKeys:
-    """Keys with about ``hot_rows`` versions or more. Runs one job, two if there are any."""
+    """Keys with about ``hot_rows`` versions or more. Runs one job, two if there are any.
+
+    Start columns that have no quantiles, such as strings, cannot be cut; their tables keep the
+    plain plan.
+    """
+    start_type = df.schema[spec.start].dataType
+    if not isinstance(start_type, _CUTTABLE):
+        return HotKeys()
     hashed = df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH))
     top = (
         hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_part"))
@@ -66,19 +76,22 @@ def find_hot_keys(
         .agg(F.sum("_top.count").alias(COUNT))
         .where(F.col(COUNT) >= hot_rows)
     )
-    sizes = {r[_HASH]: r[COUNT] for r in top.collect()}
-    if not sizes:
+    by_lanes: dict[int, list[int]] = {}
+    for r in top.collect():
+        lanes = 1 << ceil(log2(max(2, r[COUNT] / lane_rows)))
+        by_lanes.setdefault(lanes, []).append(r[_HASH])
+    if not by_lanes:
         return HotKeys()
-    lanes = ceil(max(sizes.values()) / lane_rows)
-    marks = [i / (lanes + 1) for i in range(1, lanes + 1)]
-    cuts = (
-        df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH), col(spec.start).alias("_s"))
-        .where(F.col(_HASH).isin(list(sizes)))
-        .groupBy(_HASH)
-        .agg(F.percentile_approx("_s", marks, max(10_000, 10 * lanes)).alias("_cuts"))
-    )
-    splits = {r[_HASH]: sorted(set(r["_cuts"] or [])) for r in cuts.collect()}
-    return HotKeys(splits, df.schema[spec.start].dataType)
+    rows = df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH), col(spec.start).alias("_s"))
+    cuts = reduce(DataFrame.unionByName, [_cuts(rows, lanes, keys) for lanes, keys in by_lanes.items()])
+    return HotKeys({r[_HASH]: sorted(set(r["_cuts"] or [])) for r in cuts.collect()}, start_type)
+
+
+def _cuts(rows: DataFrame, lanes: int, hashes: Sequence[int]) -> DataFrame:
+    """Start dates that cut each of the keys into ``lanes`` lanes of about equal size."""
+    marks = [i / lanes for i in range(1, lanes)]
+    cuts = F.percentile_approx("_s", marks, max(10_000, 10 * lanes)).alias("_cuts")
+    return rows.where(F.col(_HASH).isin(list(hashes))).groupBy(_HASH).agg(cuts)
 
 
 def find_all_hot_keys(tables: Mapping[str, tuple[DataFrame, HistorySpec]]) -> dict[str, HotKeys]:

@@ -113,7 +113,11 @@ def test_hot_keys_are_found_and_cut(spark):
     hot = find_hot_keys(df, SPEC, hot_rows=500, lane_rows=100)
     assert len(hot.splits) == 1
     cuts = next(iter(hot.splits.values()))
-    assert 5 <= len(cuts) <= 10 and list(cuts) == sorted(cuts)
+    assert 9 <= len(cuts) <= 18 and list(cuts) == sorted(cuts)
+    for kind in ("timestamp", "timestamp_ntz"):
+        other = df.selectExpr("k", f"cast(s as {kind}) as s")
+        assert len(next(iter(find_hot_keys(other, SPEC, 500, 100).splits.values()))) == len(cuts)
+    assert not find_hot_keys(df.selectExpr("k", "cast(s as string) as s"), SPEC, 500, 100)
     assert not find_hot_keys(df, SPEC)
     assert not find_hot_keys(df.limit(0), SPEC)
 
