@@ -7,8 +7,6 @@ failed append leaves earlier rows as they were.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -59,19 +57,6 @@ SNAPSHOT = LogTable("validation_source_recon_snapshot", SNAPSHOT_COLUMNS, ("snap
 LOG_TABLES = (RUN, CHECK, SNAPSHOT)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder every executor can reach, under the one named in spark.checkpoint.dir.
-
-    Only a local session may go without that setting; it gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ConfigError("spark.checkpoint.dir names no shared folder")
-        root = tempfile.mkdtemp(prefix="tablegate-")
-    return f"{root.rstrip('/')}/tablegate/{uuid.uuid4()}"
-
-
 def with_check_date(checks: DataFrame) -> DataFrame:
     return checks.withColumn("check_date", F.to_date("checked_at"))
 

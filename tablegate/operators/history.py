@@ -17,6 +17,7 @@ from tablegate.plans.lanes import (
     sum_before,
     with_lane,
 )
+from tablegate.sources.shared import checkpointed
 from tablegate.sources.tables import current
 
 _RANK_BLOCK = 128
@@ -188,6 +189,8 @@ def _beyond(df: DataFrame, spec: HistorySpec) -> Column:
 def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: bool) -> DataFrame:
     """Earlier versions (_kind 0) with the run of later versions inside them, and those (_kind 1).
 
+    With hot keys this runs a job that stores the rows touching other rows.
+
     The run is [_lo, _hi) in ranks; the rank of a later version is _hi - 1. The columns with
     suffix _n count equal rows as often as they occur, those with suffix _v only inverted rows.
     """
@@ -201,6 +204,9 @@ def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: boo
     outer = F.coalesce(usable & (F.col("next_start") < until), F.lit(False))
     inner = F.coalesce(usable & until.isNotNull() & (F.col("_reach") > col(start)), F.lit(False))
     rows = rows.withColumns({"_outer": outer, "_inner": inner}).where(F.col("_outer") | F.col("_inner"))
+    if hot:
+        # Each step below reads its input twice, for the rows and for the totals of the lanes.
+        rows = checkpointed(rows)
 
     def running(frame: DataFrame, is_later: Column, window: WindowSpec, prefix: str) -> DataFrame:
         one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")

@@ -8,7 +8,9 @@ cuts each hot key into lanes, ranges of start dates that are windowed separately
 ``carried`` hands per-lane totals from lane to lane. A table without hot keys gets the plain
 window plan.
 
-The sketch only steers the layout. Results are the same whatever keys it reports.
+The sketch only steers the layout: every row takes part in the checks, and results are the same
+whatever keys it reports. So it need not see every row either. It reads as large a share of them
+as shows about ``_SEEN_ROWS`` rows of a key that is just hot.
 
 Lanes cannot part versions with equal starts. Equal rows are merged before they are shuffled,
 so such a lane holds at most one row per distinct pair of end and flag.
@@ -36,6 +38,7 @@ LANE = "_lane"
 _HASH = "_key_hash"
 _COLD = -1
 _CUTTABLE = (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType)
+_SEEN_ROWS = 10_000
 _SKETCH_GROUPS = 64
 _SKETCH_TOP = 100
 _SKETCH_ITEMS = 4096
@@ -67,23 +70,25 @@ def find_hot_keys(
     start_type = df.schema[spec.start].dataType
     if not isinstance(start_type, _CUTTABLE):
         return HotKeys()
-    hashed = df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH))
+    share = min(1.0, _SEEN_ROWS / hot_rows)
+    hashed = df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH), col(spec.start).alias("_s"))
+    if share < 1:
+        hashed = hashed.sample(share, seed=0)
     top = (
         hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_part"))
         .agg(F.expr(f"approx_top_k({_HASH}, {_SKETCH_TOP}, {_SKETCH_ITEMS})").alias("_top"))
         .select(F.explode("_top").alias("_top"))
         .groupBy(F.col("_top.item").alias(_HASH))
         .agg(F.sum("_top.count").alias(COUNT))
-        .where(F.col(COUNT) >= hot_rows)
+        .where(F.col(COUNT) >= hot_rows * share)
     )
     by_lanes: dict[int, list[int]] = {}
     for r in top.collect():
-        lanes = 1 << ceil(log2(max(2, r[COUNT] / lane_rows)))
+        lanes = 1 << ceil(log2(max(2, r[COUNT] / share / lane_rows)))
         by_lanes.setdefault(lanes, []).append(r[_HASH])
     if not by_lanes:
         return HotKeys()
-    rows = df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH), col(spec.start).alias("_s"))
-    cuts = reduce(DataFrame.unionByName, [_cuts(rows, lanes, keys) for lanes, keys in by_lanes.items()])
+    cuts = reduce(DataFrame.unionByName, [_cuts(hashed, lanes, keys) for lanes, keys in by_lanes.items()])
     return HotKeys({r[_HASH]: sorted(set(r["_cuts"] or [])) for r in cuts.collect()}, start_type)
 
 

@@ -11,6 +11,7 @@ from tablegate.config import ConfigError
 from tablegate.functions.columns import COUNT
 from tablegate.gate import PipelineBlocked, enforce_gate, pipeline_gate
 from tablegate.plans.results import failure_sample, overall, run_summary
+from tablegate.sources.shared import shared_folder
 
 
 def test_schema_and_tables_are_created_once(spark, tmp_path):
@@ -43,7 +44,7 @@ def test_a_log_needs_a_place(spark):
 
 
 def test_shared_folder_follows_the_session(spark):
-    assert log.shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/tablegate/")
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/tablegate/")
 
 
 def test_upsert_replaces_and_adds(spark):

@@ -19,6 +19,7 @@ from tablegate.operators import completeness, history, recon, rules
 from tablegate.plans import checks as plan
 from tablegate.plans.lanes import find_all_hot_keys, find_hot_keys
 from tablegate.plans.results import failure_sample, run_summary
+from tablegate.sources.shared import shared_folder
 from tablegate.sources.tables import batch_slice, current
 from workload import tables as t
 
@@ -382,7 +383,7 @@ def pipeline_gate_by_run(spark, sf):
 @query
 def check_log_roundtrip(spark, sf):
     """Append the check log in two parts and read it back."""
-    store = log.ValidationLog(spark, log.shared_folder(spark)).ensure()
+    store = log.ValidationLog(spark, shared_folder(spark)).ensure()
     rows = t.check_log(spark, sf).drop("check_date")
     store.write(log.CHECK, rows.where("status = 'PASS'"))
     store.write(log.CHECK, rows.where("status <> 'PASS'"))
