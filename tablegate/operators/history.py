@@ -186,9 +186,13 @@ def _beyond(df: DataFrame, spec: HistorySpec) -> Column:
     return F.date_add(F.lit("9999-12-31").cast("date"), 1).cast(df.schema[spec.end].dataType)
 
 
-def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: bool) -> DataFrame:
+def _ranked(
+    df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: bool, merge: bool = False
+) -> DataFrame:
     """Earlier versions (_kind 0) with the run of later versions inside them, and those (_kind 1).
 
+    ``merge`` makes equal rows one row; those of hot keys already are.
+
     With hot keys this runs a job that stores the rows touching other rows.
 
     The run is [_lo, _hi) in ranks; the rank of a later version is _hi - 1. The columns with
@@ -204,6 +208,10 @@ def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: boo
     outer = F.coalesce(usable & (F.col("next_start") < until), F.lit(False))
     inner = F.coalesce(usable & until.isNotNull() & (F.col("_reach") > col(start)), F.lit(False))
     rows = rows.withColumns({"_outer": outer, "_inner": inner}).where(F.col("_outer") | F.col("_inner"))
+    if merge and not hot:
+        rows = rows.groupBy(*cols([*keys, start, spec.end])).agg(
+            F.sum(COUNT).alias(COUNT), F.max("_outer").alias("_outer"), F.max("_inner").alias("_inner")
+        )
     if hot:
         # Each step below reads its input twice, for the rows and for the totals of the lanes.
         rows = checkpointed(rows)
@@ -211,7 +219,7 @@ def _ranked(df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: boo
     def running(frame: DataFrame, is_later: Column, window: WindowSpec, prefix: str) -> DataFrame:
         one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
         units = {"": F.when(is_later, one), "_v": F.when(is_later & (until < col(start)), one)}
-        if hot:
+        if hot or merge:
             units["_n"] = F.when(is_later, F.col(COUNT))
         units = {suffix: F.coalesce(u, none) for suffix, u in units.items()}
         if not hot:
@@ -312,7 +320,7 @@ def overlap_counts(
     time answers all runs at once. The work grows with n log n in the worst case.
     """
     start, end = col(spec.start), col(spec.end)
-    rows = _ranked(df, spec, hot, open_end)
+    rows = _ranked(df, spec, hot, open_end, merge=True)
     if hot:
         levels, spread_over = F.lit(_MAX_LEVEL), F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS))
     else:
@@ -353,7 +361,7 @@ def overlap_counts(
     too_early = F.sum(F.when(is_later, F.col(COUNT)).otherwise(F.lit(0))).over(
         in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    run = F.col("_hi_n") - F.col("_lo_n") if hot else F.col("_hi") - F.col("_lo")
+    run = F.col("_hi_n") - F.col("_lo_n")
     partners = F.when(F.col("_level") < 0, run).otherwise(-F.col("_sign") * F.col("_early"))
     per_key = (
         rows.withColumn("_early", too_early)
