@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegate.llm import jaccard
+from tablegate.llm import bpe, jaccard, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,6 +21,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_mix_sources(spark, sf_dir):
+    """All documents mixed to three sizes of sources, 150 % of their words in all."""
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_bpe(spark, sf_dir):
+    """Every document encoded and decoded."""
+    return bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op8_ngram_jaccard(spark, sf_dir):
     """Documents grouped by the Jaccard similarity of their five-word shingles."""
