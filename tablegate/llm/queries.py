@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegate.llm import bpe, jaccard, mixing
+from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,7 +33,37 @@ def op2_bpe(spark, sf_dir):
     return bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_embedding_links(spark, sf_dir):
+    """Every vector with its links of cosine 0.93 or more to vectors of its label, and its component."""
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_repeated_passages(spark, sf_dir):
+    """Passages of documents that stand in other documents too."""
+    return chunks.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc(spark, sf_dir):
+    """All pages written to WARC archives and read back."""
+    return warc.archived(_table(spark, sf_dir, "pages")).drop("url")
+
+
+@query
+def op7_fingerprints(spark, sf_dir):
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return fingerprints.compared_with_edits(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_ngram_jaccard(spark, sf_dir):
     """Documents grouped by the Jaccard similarity of their five-word shingles."""
     return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language(spark, sf_dir):
+    """The language of every document, learned from four fifths of the labelled ones."""
+    return language.languages(_table(spark, sf_dir, "documents"))
