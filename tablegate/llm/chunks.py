@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablegate.llm.frames import few_rows
+
 #: A chunk may end at one byte in 2**BITS; the hash covers WINDOW bytes.
 BITS = 4
 WINDOW = 16
@@ -78,7 +80,7 @@ def _merged(cuts: np.ndarray, size: int) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         ids = batch.column("doc_id").to_pylist()
         texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         docs, sizes, digests, words = [], [], [], []

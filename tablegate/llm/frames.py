@@ -32,6 +32,13 @@ def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, key)
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches cut to ``rows``, for steps that hold several times a batch's texts."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def split_by(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """One table for each value of ``keys`` in a stream that is sorted by them. Only one group is in memory."""
     held: list[pa.RecordBatch] = []

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm import signature_tree as st
-from tablegate.llm.frames import components, split_by, stored, with_ids
+from tablegate.llm.frames import components, few_rows, split_by, stored, with_ids
 from tablegate.llm.words import mix, shingles, word_hashes
 
 PERCENT = 75
@@ -57,7 +57,7 @@ def _sets(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         sets = _sets(batch)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([digest(s) for s in sets], pa.int64()), pa.array(map(len, sets), pa.int64())],
@@ -66,7 +66,7 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         sets = [s for s in _sets(batch) if len(s)]
         sizes = np.array([prefix(len(s)) for s in sets], np.int64)
         names = np.repeat(np.array([digest(s) for s in sets], np.int64), sizes)
@@ -75,7 +75,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_rows(batches):
         rows = zip(_sets(batch), batch.column("d").to_pylist(), strict=True)
         # Another text of a repeated doc_id has another digest.
         blobs = pa.array([s.tobytes() if digest(s) == d else None for s, d in rows], pa.binary())

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.llm.frames import stored
+
 UNKNOWN = "und"
 #: The model is fitted on at most so many labelled documents, those with the smallest hashes of their doc_id.
 SAMPLE = 20_000
@@ -89,7 +91,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     At most ``sample`` of them, those with the smallest hashes of doc_id. Null languages and doc_ids teach nothing.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    ids = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    ids = stored(known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = known.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
     counts = rows.select("lang", "text").mapInArrow(_counts, "lang string, counts array<long>")
     counts = counts.select("lang", F.posexplode("counts").alias("gram", "n")).where("n > 0")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, warc
+from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pii, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,6 +51,12 @@ def op5_warc(spark, sf_dir):
     return warc.archived(_table(spark, sf_dir, "pages")).drop("url")
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    """The toxicity of every document, learned from two thirds of the labelled ones."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("spans")
+
+
 @query
 def op7_fingerprints(spark, sf_dir):
     """Fingerprints of every document, of its edited text, and their likeness."""
@@ -67,3 +73,9 @@ def op8_ngram_jaccard(spark, sf_dir):
 def op9_language(spark, sf_dir):
     """The language of every document, learned from four fifths of the labelled ones."""
     return language.languages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_pii(spark, sf_dir):
+    """Personal data in every document."""
+    return pii.detected(_table(spark, sf_dir, "documents"))
