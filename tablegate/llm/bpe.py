@@ -22,6 +22,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablegate.llm.frames import few_rows
 
 # Fixed value: the pattern that splits text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -239,16 +242,28 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 def _tokens(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_codec = codec(path)
-        for batch in batches:
-            ids = [np.frombuffer(with_codec.encode(t or ""), "<u4").astype(np.int32) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names[:-1], "tokens"])
+        for batch in few_rows(batches):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids = [np.frombuffer(with_codec.encode(t), "<u4") for t in texts]
+            back = [with_codec.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]
+            ends = np.cumsum([0, *map(len, ids)])
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([[], *ids]).astype(np.int32)))
+            rest = pa.Table.from_batches([batch]).drop_columns("text")
+            rest = rest.append_column("n_tokens", pa.array(np.diff(ends), pa.int64())).append_column("tokens", tokens)
+            yield from rest.append_column("round_trip", pa.array(back)).combine_chunks().to_batches()
 
     return run
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` (doc_id, text) to (doc_id, tokens array<int>)."""
-    return docs.select("doc_id", "text").mapInArrow(_tokens(path), "doc_id long, tokens array<int>")
+    """``docs`` with n_tokens, tokens (array<int>) and round_trip, whether decoding gives the text, in place of text.
+
+    A null text is empty. Other columns pass through, but for ones of these three names, which are replaced.
+    """
+    rows = docs.drop("n_tokens", "tokens", "round_trip")
+    kept = [x for x in rows.schema if x.name != "text"]
+    more = [("n_tokens", T.LongType()), ("tokens", T.ArrayType(T.IntegerType())), ("round_trip", T.BooleanType())]
+    return rows.mapInArrow(_tokens(path), T.StructType([*kept, *(T.StructField(*x) for x in more)]))
 
 
 def _texts(path: str):
