@@ -48,6 +48,11 @@ class RunOptions:
     env: str = "dev"
     parallel_jobs: int = 4
 
+    def __post_init__(self) -> None:
+        # Names may come from a generator, and every tier reads them again.
+        if self.tables is not None and not isinstance(self.tables, str):
+            object.__setattr__(self, "tables", tuple(self.tables))
+
 
 @dataclass
 class CheckRow:
@@ -150,6 +155,8 @@ class Pipeline:
             run.log_run(Status.ERROR, rows, str(e))
             raise
         status = overall([r.status for r in rows])
+        if tier in (COMPLETENESS, HISTORY) and not rows:
+            status = Status.FAIL  # nothing was checked
         run.log_run(status, rows)
         return TierOutcome(tier, run.run_id, status, rows)
 
@@ -157,7 +164,10 @@ class Pipeline:
         if tier == COMPLETENESS:
             return plan.completeness_groups(spec, self.tables, options.batch_id, options.strict_zero_base)
         if tier == HISTORY:
-            hot = find_hot_keys(self.tables.curated(spec.name), spec.history)
+            try:
+                hot = find_hot_keys(self.tables.curated(spec.name), spec.history)
+            except Exception:  # the checks of a table that cannot be read say so themselves
+                hot = None
             return plan.history_groups(spec, self.tables, hot)
         if tier == RULES:
             return plan.rule_groups(spec, self.tables, self.registry.__getitem__)

@@ -1,7 +1,9 @@
 """Checks of a table grouped into as few Spark jobs as their semantics allow.
 
 A group computes the result rows of one or more checks and can list the keys that failed
-them. Groups do nothing until asked and hold no results.
+them. Groups do nothing until asked and hold no results. Tables are looked up when a group runs,
+so a missing one fails the checks that need it and no others. The names of the checks are fixed
+values: readers of the log know them.
 
 * Row predicates of a table are counted together in one aggregation without a shuffle.
 * History checks are counted in one pass over the versions in order, with one shuffle by key.
@@ -18,7 +20,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.config import COMPLETENESS, HISTORY, RECON, RULES, Status, TableSpec, Tier
+from tablegate.config import (
+    COMPLETENESS,
+    HISTORY,
+    RECON,
+    RULES,
+    ConfigError,
+    ForeignKey,
+    HistorySpec,
+    Status,
+    TableSpec,
+    Tier,
+)
 from tablegate.functions.columns import COUNT, col, cols, key_json
 from tablegate.operators import completeness, history, recon, rules
 from tablegate.plans.lanes import HotKeys
@@ -114,20 +127,20 @@ def _sample_columns(keys: Sequence[str], check: Check) -> list[str]:
 
 @dataclass(frozen=True)
 class RowGroup(Group):
-    """Predicates over single rows of one frame."""
+    """Predicates over single rows of one frame, which is read when the group runs."""
 
-    frame: DataFrame
+    frame: Callable[[], DataFrame]
     keys: tuple[str, ...]
 
     def results(self) -> DataFrame:
-        counts = self.frame.agg(
+        counts = self.frame().agg(
             *[F.count_if(c.predicate).alias(f"c{i}") for i, c in enumerate(self.checks)]
         )
         return _counted(counts, self.checks)
 
     def offenders(self, names: Sequence[str]) -> DataFrame:
         wanted = [c for c in self.checks if c.full_name in names]
-        hits = self.frame.select(F.explode(_tag(wanted, self.keys)).alias("_hit"))
+        hits = self.frame().select(F.explode(_tag(wanted, self.keys)).alias("_hit"))
         return hits.select("_hit.check_name", "_hit.key_json", F.lit(1).cast("bigint").alias(COUNT))
 
 
@@ -138,7 +151,7 @@ class KeyGroup(RowGroup):
     spec: object = None
 
     def _grouped(self) -> RowGroup:
-        return RowGroup(self.checks, history.current_per_key(self.frame, self.spec), self.keys)
+        return RowGroup(self.checks, lambda: history.current_per_key(self.frame(), self.spec), self.keys)
 
     def results(self) -> DataFrame:
         return self._grouped().results()
@@ -218,8 +231,11 @@ def _csv(names: Sequence[str]) -> str:
 def completeness_groups(
     spec: TableSpec, tables: Tables, batch_id: str, strict_zero_base: bool = False
 ) -> list[Group]:
-    raw, curated = tables.raw(spec.raw_table or spec.name), tables.curated(spec.name)
     h = spec.history
+
+    def sides() -> tuple[DataFrame, DataFrame]:
+        return tables.raw(spec.raw_table or spec.name), tables.curated(spec.name)
+
     batch = f"{spec.raw_batch} = :batch_id"
 
     def check(name, description, sql, extra=()):
@@ -247,7 +263,7 @@ def completeness_groups(
 
     def build(checks: Sequence[Check]) -> DataFrame:
         columns = [c.extra[0] for c in checks if c.extra]
-        rows = completeness.batch_recon(raw, curated, h, batch_id, columns, spec.raw_batch, strict_zero_base)
+        rows = completeness.batch_recon(*sides(), h, batch_id, columns, spec.raw_batch, strict_zero_base)
         if all(c.extra for c in checks):
             rows = rows.where(F.col("metric").isNotNull())
         name = F.coalesce(F.concat(F.lit("numeric_sum_"), "metric"), F.lit("row_count_bronze_vs_silver"))
@@ -268,13 +284,17 @@ def completeness_groups(
         FrameGroup(
             (coverage,),
             h.keys,
-            lambda: completeness.missing_keys(raw, curated, h, batch_id, spec.raw_batch),
+            lambda: completeness.missing_keys(*sides(), h, batch_id, spec.raw_batch),
         ),
     ]
 
 
 def history_groups(spec: TableSpec, tables: Tables, hot: HotKeys | None = None) -> list[Group]:
-    df, h, name = tables.curated(spec.name), spec.history, spec.name
+    h, name = spec.history, spec.name
+
+    def rows() -> DataFrame:
+        return tables.curated(name)
+
     scan = f"SELECT {_csv(h.keys)} FROM curated.{name}"
 
     def check(short, description, sql, predicate=None):
@@ -328,23 +348,35 @@ def history_groups(spec: TableSpec, tables: Tables, hot: HotKeys | None = None)
         f"(PARTITION BY {_csv(h.keys)} ORDER BY {h.start}, {h.end}, {h.is_current})",
     )
     parts = (
-        KeyGroup(per_key, df, h.keys, h),
-        RowGroup(per_row, df, h.keys),
-        FrameGroup((chain,), h.keys, lambda: history.broken_links(df, h, hot)),
+        KeyGroup(per_key, rows, h.keys, h),
+        RowGroup(per_row, rows, h.keys),
+        FrameGroup((chain,), h.keys, lambda: history.broken_links(rows(), h, hot)),
     )
     return [
         ProfileGroup(
             (*per_key, *per_row, chain),
             history.PROFILE,
             parts,
-            lambda: history.history_profile(df, h, hot),
+            lambda: history.history_profile(rows(), h, hot),
         ),
-        FrameGroup((overlap,), h.keys, lambda: history.overlap_counts(df, h, hot)),
+        FrameGroup((overlap,), h.keys, lambda: history.overlap_counts(rows(), h, hot)),
     ]
 
 
+def _parent_history(fk: ForeignKey, parents: Callable[[str], TableSpec]) -> HistorySpec:
+    """How a referenced table marks current records; one that is not registered uses the default names."""
+    try:
+        return parents(fk.ref_table).history
+    except ConfigError:
+        return HistorySpec((fk.ref_column,))
+
+
 def rule_groups(spec: TableSpec, tables: Tables, parents: Callable[[str], TableSpec]) -> list[Group]:
-    df, h, name = tables.curated(spec.name), spec.history, spec.name
+    h, name = spec.history, spec.name
+
+    def rows() -> DataFrame:
+        return tables.curated(name)
+
     scan = f"SELECT {_csv(h.keys)} FROM curated.{name}"
 
     def check(short, description, sql, predicate=None, extra=()):
@@ -380,28 +412,27 @@ def rule_groups(spec: TableSpec, tables: Tables, parents: Callable[[str], TableS
             per_row.append(replace(made, predicate=F.expr(f"({predicate})")))
         except Exception:  # a predicate that does not parse fails when its own group is run
             groups.append(
-                FrameGroup((made,), h.keys, lambda p=predicate: rules.conditional_rule(df, h, p))
+                FrameGroup((made,), h.keys, lambda p=predicate: rules.conditional_rule(rows(), h, p))
             )
     if per_row:
-        groups.insert(0, RowGroup(tuple(per_row), df, h.keys))
+        groups.insert(0, RowGroup(tuple(per_row), rows, h.keys))
     for fk in spec.foreign_keys:
-        parent = parents(fk.ref_table)
+        parent = _parent_history(fk, parents)
         made = check(
             f"fk_{fk.column}_to_{fk.ref_table}",
             f"{fk.column} of current records is {fk.ref_column} of a current {fk.ref_table} record.",
             f"{scan} s WHERE {h.is_current} AND {fk.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM "
             f"curated.{fk.ref_table} r WHERE r.{fk.ref_column} = s.{fk.column} "
-            f"AND r.{parent.history.is_current})",
+            f"AND r.{parent.is_current})",
             None,
             (fk.column,),
         )
-        ref = tables.curated(fk.ref_table)
         groups.append(
             FrameGroup(
                 (made,),
                 h.keys,
-                lambda fk=fk, ref=ref, p=parent: rules.dangling_values(df, ref, h, fk, p.history),
-                lambda fk=fk, ref=ref, p=parent: rules.foreign_key(df, ref, h, fk, p.history),
+                lambda fk=fk, p=parent: rules.dangling_values(rows(), tables.curated(fk.ref_table), h, fk, p),
+                lambda fk=fk, p=parent: rules.foreign_key(rows(), tables.curated(fk.ref_table), h, fk, p),
             )
         )
     if spec.duplicate_rule:
@@ -411,7 +442,7 @@ def rule_groups(spec: TableSpec, tables: Tables, parents: Callable[[str], TableS
             f"{scan} WHERE {h.is_current} GROUP BY {_csv(h.keys)} HAVING COUNT(*) > 1",
             F.col("cnt") > 1,
         )
-        groups.append(KeyGroup((made,), df, h.keys, h))
+        groups.append(KeyGroup((made,), rows, h.keys, h))
     return groups
 
 
@@ -424,7 +455,6 @@ def recon_groups(
 ) -> list[Group]:
     if not spec.metrics:
         return []
-    df = tables.curated(spec.name)
     checks = tuple(
         Check(
             f"source_recon_{m.name}",
@@ -444,7 +474,7 @@ def recon_groups(
         rows = recon.source_recon(
             source,
             spec.source_table,
-            df,
+            tables.curated(spec.name),
             spec.history,
             [m for m in spec.metrics if m.name in names],
             threshold_pct,

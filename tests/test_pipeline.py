@@ -7,7 +7,7 @@ import json
 import pytest
 
 from tablegate import log
-from tablegate.config import COMPLETENESS, HISTORY, RECON, RULES, ConfigError, Status
+from tablegate.config import COMPLETENESS, HISTORY, RECON, RULES, ConfigError, ForeignKey, Registry, Status
 from tablegate.gate import PipelineBlocked
 from tablegate.pipeline import Pipeline, RunOptions
 from tablegate.sources.tables import FrameTables
@@ -105,11 +105,47 @@ def test_a_bad_check_fails_alone(spark, stored, tmp_path):
     assert outcome.status is Status.FAIL
 
 
-def test_an_error_closes_the_run(spark, stored, tmp_path):
+def test_a_missing_table_fails_its_own_checks(spark, stored, tmp_path):
     only_customer = FrameTables(stored[True].raw_frames, {"customer": stored[True].curated("customer")})
     p = pipeline(spark, only_customer, tmp_path)
-    with pytest.raises(ConfigError):
-        p.run_tier(HISTORY, RunOptions("B1"))
-    run = p.log.runs().first()
-    assert run["status"] == "ERROR" and "order" in run["error_message"]
-    assert p.log.checks().count() == 7
+    outcome = p.run_tier(HISTORY, RunOptions("B1"))
+    assert outcome.status is Status.FAIL and len(outcome.rows) == 21
+    assert {r.check.table for r in outcome.rows if r.error} == {"order", "order_line"}
+    assert all(r.status == "PASS" for r in outcome.rows if r.check.table == "customer")
+    assert p.log.runs().first()["status"] == "FAIL"
+    assert p.log.checks().where("sql_query LIKE 'ERROR:%'").count() == 14
+
+
+def test_errors_stay_with_their_checks(spark, stored, tmp_path):
+    """A missing parent, start column or table fails the checks that need it; the run goes on."""
+    made = stored[True]
+    curated = {**made.curated_frames, "order": made.curated("order").drop("effective_start_date")}
+    del curated["customer"]
+    p = pipeline(spark, FrameTables(made.raw_frames, curated), tmp_path)
+    rules = p.run_tier(RULES, RunOptions("B1"))
+    failed = {r.check.full_name for r in rules.rows if r.error}
+    assert "order.fk_customer_id_to_customer" in failed and "order.required_field_status" not in failed
+    assert {n for n in failed if not n.startswith("customer.")} == {"order.fk_customer_id_to_customer"}
+    history = p.run_tier(HISTORY, RunOptions("B1", tables=["order"]))
+    by_name = {r.check.name: r for r in history.rows}
+    assert by_name["scd2_no_orphan_keys"].status == "PASS" and by_name["scd2_no_duplicate_current"].status == "PASS"
+    assert by_name["scd2_no_null_end_on_closed"].status == "PASS"
+    assert all(by_name[n].error for n in ("scd2_no_null_effective_start", "scd2_chain_continuity"))
+    parents = t.REGISTRY.override("order", foreign_keys=(ForeignKey("customer_id", "nowhere", "id"),))
+    rules = pipeline(spark, made, tmp_path / "b", parents).run_tier(RULES, RunOptions("B1", tables="order"))
+    assert [r.check.name for r in rules.rows if r.error] == ["fk_customer_id_to_nowhere"]
+
+
+def test_tables_from_a_generator_are_checked_in_every_tier(spark, stored, tmp_path):
+    p = pipeline(spark, stored[False], tmp_path)
+    with pytest.raises(PipelineBlocked, match="tier 1"):
+        p.run(RunOptions("B1", tables=(n for n in ["order"])))
+    assert p.log.runs().first()["table_name"] == "order"
+    outcome = p.run_tier(HISTORY, RunOptions("B1", tables=(n for n in ["order"])))
+    assert len(outcome.rows) == 7 and outcome.status is Status.FAIL
+
+
+def test_nothing_checked_does_not_pass(spark, stored, tmp_path):
+    p = pipeline(spark, stored[True], tmp_path, Registry([]))
+    with pytest.raises(PipelineBlocked):
+        p.run(RunOptions("B1"))
