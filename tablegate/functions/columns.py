@@ -20,16 +20,6 @@ def cols(names: Sequence[str]) -> list[Column]:
     return [col(n) for n in names]
 
 
-def same_keys(left: DataFrame, right: DataFrame, names: Sequence[str], null_safe: bool = False) -> Column:
-    """Equality of two frames on ``names``."""
-    out = None
-    for n in names:
-        a, b = left["`" + n.replace("`", "``") + "`"], right["`" + n.replace("`", "``") + "`"]
-        one = a.eqNullSafe(b) if null_safe else a == b
-        out = one if out is None else out & one
-    return out
-
-
 def none_null(names: Sequence[str]) -> Column:
     out = F.lit(True)
     for n in names:
@@ -45,14 +35,13 @@ def key_json(names: Sequence[str]) -> Column:
 def repeat_rows(df: DataFrame, count: str = COUNT) -> DataFrame:
     """Turn a row that stands for ``count`` equal rows into those rows.
 
-    The count may be huge for one row, so it is cut into blocks that are spread over the
-    cluster before they are expanded; no task and no array grows with the count.
+    The count may be huge for one row, so it is cut into blocks of blocks, and these are spread
+    over the cluster before they are expanded; no array holds more than a block.
     """
     n = F.col(count)
-    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK))))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = blocks.repartition(parts, F.xxhash64(*[c for c in blocks.columns if c != count]))
-    size = F.least(F.lit(_BLOCK).cast("bigint"), n - F.col("_block") * _BLOCK)
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).drop(
-        "_copy", "_block", count
-    )
+    for block, size in (("_outer", _BLOCK**2), ("_inner", _BLOCK)):
+        df = df.withColumn(block, F.explode(F.sequence(F.lit(0), F.floor((n - 1) / size))))
+        df = df.withColumn(count, F.least(F.lit(size).cast("bigint"), n - F.col(block) * size))
+    spread = df.repartition(F.xxhash64(*[c for c in df.columns if c != count]))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), n))
+    return spread.withColumn("_copy", copies).drop("_copy", "_outer", "_inner", count)

@@ -67,14 +67,6 @@ def append(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     balanced.write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def append_checks(df: DataFrame, path: str) -> None:
-    append(with_check_date(df), path, CHECK.partitions)
-
-
-def append_snapshots(df: DataFrame, path: str) -> None:
-    append(df, path, SNAPSHOT.partitions)
-
-
 def upsert_latest(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """``target`` with the rows of ``updates`` replacing those of the same key or added."""
     kept = target.join(updates.select(key), key, "left_anti")
@@ -105,17 +97,25 @@ class ValidationLog:
         self.table_format = table_format
 
     def ensure(self) -> ValidationLog:
-        """Create the schema and tables that do not exist yet."""
-        if self.schema:
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema}")
+        """Create the schema and tables, or the folders, that do not exist yet."""
+        if not self.schema:
             for t in LOG_TABLES:
-                at = f" LOCATION '{self.path(t)}'" if self.location else ""
-                self.spark.sql(
-                    f"CREATE TABLE IF NOT EXISTS {self.schema}.{t.name} ({t.schema}) "
-                    f"USING {self.table_format} PARTITIONED BY ({', '.join(t.partitions)}){at}"
-                )
+                append(self.spark.createDataFrame([], t.schema), self.path(t), t.partitions)
+            return self
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self._quoted}")
+        for t in LOG_TABLES:
+            at = " LOCATION '{}'".format(self.path(t).replace("\\", "\\\\").replace("'", "\\'")) if self.location else ""
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self._quoted}.{t.name} ({t.schema}) "
+                f"USING {self.table_format} PARTITIONED BY ({', '.join(t.partitions)}){at}"
+            )
         return self
 
+    @property
+    def _quoted(self) -> str:
+        """The schema with each part of its name quoted; dots part a catalog from a schema."""
+        return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in self.schema.split("."))
+
     def path(self, table: LogTable) -> str:
         return f"{self.location}/{table.name}"
 
@@ -125,13 +125,13 @@ class ValidationLog:
         if not self.schema:
             append(df, self.path(table), table.partitions)
             return
-        name = f"{self.schema}.{table.name}"
+        name = f"{self._quoted}.{table.name}"
         balanced = df.hint("rebalance", *[F.col(p) for p in table.partitions])
         balanced.select(*self.spark.table(name).columns).write.mode("append").insertInto(name)
 
     def read(self, table: LogTable) -> DataFrame:
         if self.schema:
-            return self.spark.table(f"{self.schema}.{table.name}")
+            return self.spark.table(f"{self._quoted}.{table.name}")
         return self.spark.read.schema(table.schema).parquet(self.path(table))
 
     def runs(self) -> DataFrame:

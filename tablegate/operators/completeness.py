@@ -12,6 +12,8 @@ from tablegate.functions.columns import COUNT, col, cols, repeat_rows
 from tablegate.functions.compare import off_zero_base, paired
 from tablegate.sources.tables import batch_slice
 
+#: Distinct keys of a batch that are sent to every task.
+BROADCAST_KEYS = 100_000
 _ROWS = "_rows"
 _RECON_COLUMNS = ("expected_value", "actual_value", "variance_value", "variance_pct")
 
@@ -97,13 +99,21 @@ def missing_keys(
 ) -> DataFrame:
     """``key_coverage`` with the rows of a key merged into one row and their number.
 
-    Both sides are reduced to distinct keys before the join, which therefore needs no shuffle
-    of its own and sees every key once however often it occurs.
+    The distinct keys of the batch come first; counting them is a job over the batch alone. If
+    they are few they go to every task that reads the curated keys, so only keys of the batch are
+    shuffled, whatever the history's size. Else both sides are reduced to distinct keys before
+    their shuffle. The count in the join condition keeps the join above the counting, so a key in
+    a third of the batch is one row by then.
     """
     keys = cols(spec.keys)
     wanted = batch_slice(raw, raw_batch, batch_id).groupBy(*keys).agg(F.count("*").alias(COUNT))
-    present = curated.select(*keys).distinct()
-    return wanted.join(present, list(spec.keys), "left_anti").select(*keys, F.col(COUNT))
+    present = curated.select(*keys)
+    if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        present = present.join(F.broadcast(wanted.select(*keys)), list(spec.keys), "left_semi")
+    names = [f"_key_{i}" for i in range(len(spec.keys))]
+    present = present.distinct().toDF(*names)
+    same = [col(k) == F.col(n) for k, n in zip(spec.keys, names)]
+    return wanted.join(present, [*same, F.col(COUNT) > 0], "left_anti").select(*keys, F.col(COUNT))
 
 
 def key_coverage(

@@ -86,8 +86,10 @@ def dangling_values(
         .groupBy(col(fk.column).alias("_value"))
         .agg(F.count("*").alias(COUNT))
     )
-    known = current(parent, parent_spec).select(col(fk.ref_column).alias("_value")).distinct()
-    return used.join(known, "_value", "left_anti").select("_value", COUNT)
+    known = current(parent, parent_spec).select(col(fk.ref_column).alias("_known")).distinct()
+    # The count in the condition keeps the join above the counting.
+    missing = (F.col("_value") == F.col("_known")) & (F.col(COUNT) > 0)
+    return used.join(known, missing, "left_anti").select("_value", COUNT)
 
 
 def foreign_key(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,7 +13,7 @@ from tablegate.config import ConfigError
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the one named in spark.checkpoint.dir.
+    """A new folder under the one named in spark.checkpoint.dir, deleted when this process ends.
 
     Only a local session may go without that setting; it gets a temporary folder.
     """
@@ -20,7 +22,19 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ConfigError("spark.checkpoint.dir names no shared folder")
         root = tempfile.mkdtemp(prefix="tablegate-")
-    return f"{root.rstrip('/')}/tablegate/{uuid.uuid4()}"
+        atexit.register(shutil.rmtree, root, True)
+    path = f"{root.rstrip('/')}/tablegate/{uuid.uuid4()}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this process when it ends, if its JVM can still be reached."""
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+    except Exception:
+        pass
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -24,6 +24,43 @@ def test_schema_and_tables_are_created_once(spark, tmp_path):
     assert len(spark.table("validation_once.validation_source_recon_snapshot").columns) == 11
 
 
+@pytest.mark.parametrize("schema", [None, "validation_fresh"])
+def test_reports_of_a_fresh_log_are_empty(spark, tmp_path, schema):
+    store = log.ValidationLog(spark, str(tmp_path / "it's new"), schema).ensure().ensure()
+    day = date(2024, 1, 1)
+    frames = [
+        reports.recent_runs(store.runs(), day),
+        reports.open_issues(store.checks(), day),
+        reports.pass_rate_trend(store.checks(), day),
+        reports.recon_drift(store.snapshots()),
+        reports.slowest_checks(store.checks(), day),
+        reports.check_drilldown(store.checks(), "a", day),
+    ]
+    assert [f.count() for f in frames] == [0] * 6
+
+
+def test_the_last_run_decides(spark):
+    day = lambda d: datetime(2024, 1, d)
+    rows = [
+        ("p", 1, "a", day(1), None, "RUNNING"),
+        ("p", 1, "a", day(1), day(1), "FAIL"),
+        ("p", 1, "b", day(2), day(2), "PASS"),
+        ("p", 2, "c", day(3), day(3), "PASS"),
+        ("p", 2, "d", day(4), None, "RUNNING"),
+        ("q", 1, "e", day(5), day(5), "PASS"),
+        ("q", 2, "f", day(5), day(5), "FAIL"),
+        ("q", 2, "g", day(6), day(6), "PASS"),
+    ]
+    columns = "pipeline_run_id string, tier int, run_id string, started_at timestamp, completed_at timestamp, status string"
+    runs = spark.createDataFrame(rows, columns)
+    found = {r["pipeline_run_id"]: r for r in pipeline_gate(runs, ("pipeline_run_id",)).collect()}
+    assert (found["p"]["tier1_pass"], found["p"]["tier2_pass"], found["p"]["overall_pass"]) == (True, False, False)
+    assert found["q"]["overall_pass"] and found["q"]["tier4_pass"] and not found["q"]["tier3_pass"]
+    enforce_gate(runs)
+    with pytest.raises(PipelineBlocked, match="tier2_pass"):
+        enforce_gate(runs.where("run_id <> 'g'"))
+
+
 def snapshot(spark, day):
     row = ("s", "r", day, "t", "m", 1.0, 1.0, 0.0, 0.0, True, 1.0)
     return spark.createDataFrame([row], " ".join(log.SNAPSHOT_COLUMNS.split()))

@@ -75,9 +75,15 @@ def test_row_rules_are_one_scan_without_a_keyed_shuffle(stored):
     assert count("FileScan", text) == 1 and count(SHUFFLE, text) == 0
 
 
-def test_coverage_is_an_anti_join_of_grouped_keys(spark, stored):
+def test_coverage_is_an_anti_join_of_grouped_keys(spark, stored, monkeypatch):
     frame = completeness.missing_keys(stored.raw("order"), stored.curated("order"), t.ORDER, "B1")
     assert "LeftAnti" in frame._jdf.queryExecution().optimizedPlan().toString()
+    # A small batch: the curated keys meet it where they are read, before any exchange.
+    text = executed(frame)
+    semi = text.index("LeftSemi")
+    below = text[semi : text.index("Scan", semi)]
+    assert "BroadcastHashJoin" in text[semi - 80 : semi] and "hashpartitioning" not in below.split("BroadcastExchange")[0]
+    monkeypatch.setattr(completeness, "BROADCAST_KEYS", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         frame = completeness.missing_keys(stored.raw("order"), stored.curated("order"), t.ORDER, "B1")
@@ -85,6 +91,10 @@ def test_coverage_is_an_anti_join_of_grouped_keys(spark, stored):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert count(SHUFFLE, text) == 2
+    # Counted below the join with default settings too, so equal keys are one row.
+    frame = completeness.missing_keys(stored.raw("order"), stored.curated("order"), t.ORDER, "B1")
+    plan_text = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.index("LeftAnti") < plan_text.index("count(1)")
 
 
 def test_nothing_is_a_cross_join(stored):

@@ -184,7 +184,8 @@ def v_duplicate(t: str) -> str:
 def v_overlap(t: str) -> str:
     return f"""SELECT {_csv(t, 'a.')}, a.effective_start_date AS a_start, a.effective_end_date AS a_end,
         b.effective_start_date AS b_start, b.effective_end_date AS b_end
-        FROM silver_{t} a JOIN silver_{t} b ON {_on(t, 'a', 'b')}
+        FROM (SELECT *, count(*) OVER (PARTITION BY {_csv(t)}) AS versions FROM silver_{t}) a
+        JOIN silver_{t} b ON a.versions > 1 AND {_on(t, 'a', 'b')}
         AND a.effective_start_date < b.effective_end_date AND a.effective_end_date > b.effective_start_date
         AND a.effective_start_date <> b.effective_start_date"""
 
@@ -215,6 +216,10 @@ def v_fk(t: str, fk: str, parent: str, ref: str) -> str:
     )
 
 
+# The parent is no registered table: a part is current unless its number ends in 0.
+PRODUCT_FK = """SELECT order_id, line_number, product_id FROM silver_order_line s
+    WHERE s.is_current AND s.product_id IS NOT NULL AND NOT EXISTS (
+        SELECT 1 FROM lineitem r WHERE r.l_partkey = s.product_id AND r.l_partkey % 10 <> 0)"""
 NULL_START = "effective_start_date IS NULL"
 NULL_END = "NOT is_current AND effective_end_date IS NULL"
 INVERTED = "effective_end_date IS NOT NULL AND effective_start_date > effective_end_date"
@@ -483,6 +488,7 @@ def oracle_sql() -> dict[str, str]:
             [*order, *line],
             f"SELECT {line_key} FROM ({v_fk('order_line', 'order_id', 'order', 'order_id')})",
         ),
+        "foreign_key_product": _with(line, f"SELECT {line_key}, product_id FROM ({PRODUCT_FK})"),
         "rule_shipped_has_date": _with(order, v_where("order", SHIPPED)),
         "rule_cancelled_total": _with(order, v_where("order", CANCELLED)),
         "rule_corporate_name": _with(["silver_customer"], v_where("customer", CORPORATE)),
@@ -530,6 +536,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "check_results_history": _with(SILVER, f"SELECT {result} FROM ({_tier2()})"),
         "check_results_rules": _with(SILVER, f"SELECT {result} FROM ({_tier3()})"),
+        "check_results_more_rules": _with(
+            SILVER,
+            f"""SELECT {result} FROM ({_counted({
+                "order.duplicate_business_key": v_duplicate("order"),
+                "order_line.fk_product_id_to_product": PRODUCT_FK,
+            }, "WARN", "WARNING", 3)})""",
+        ),
         "check_results_recon": _with(
             layers,
             f"SELECT check_name, status, severity, expected_value, actual_value, variance_pct FROM ({_tier4()})",
@@ -537,7 +550,18 @@ def oracle_sql() -> dict[str, str]:
         "failure_sample": _with(["silver_customer", *order], _sampled()),
         "run_summary": _with(layers, f"SELECT CAST(tier AS BIGINT) AS tier, * EXCLUDE (tier) FROM ({_SUMMARY})", everything),
         "pipeline_gate": _with(layers, f"SELECT {_GATE} FROM ({_SUMMARY})", everything),
-        "pipeline_gate_by_run": _with(["run_log"], f"SELECT pipeline_run_id, {_GATE} FROM run_log GROUP BY pipeline_run_id"),
+        "pipeline_gate_by_run": _with(
+            ["run_log"],
+            f"""SELECT pipeline_run_id, {_GATE} FROM (
+                SELECT *, row_number() OVER (PARTITION BY pipeline_run_id, tier
+                    ORDER BY started_at DESC, completed_at DESC NULLS LAST, run_id DESC) AS place
+                FROM (SELECT run_id, pipeline_run_id, tier, started_at, completed_at, status FROM run_log
+                    UNION ALL SELECT run_id || '-again', pipeline_run_id, tier, started_at + INTERVAL 1 DAY,
+                        started_at + INTERVAL 1 DAY, 'PASS' FROM run_log WHERE status <> 'PASS' AND tier = 1
+                    UNION ALL SELECT run_id || '-open', pipeline_run_id, tier, started_at + INTERVAL 1 DAY, NULL,
+                        'RUNNING' FROM run_log WHERE warned_checks = 0 AND tier = 2)
+            ) WHERE place = 1 GROUP BY pipeline_run_id""",
+        ),
         "check_log_roundtrip": _with(
             ["check_log"], f"SELECT * EXCLUDE (checked_at), {_TS.format('checked_at')} FROM check_log"
         ),

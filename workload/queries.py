@@ -8,19 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate import gate, log, reports
-from tablegate.config import ForeignKey, HistorySpec, Metric
+from tablegate.config import ForeignKey, HistorySpec, Metric, TableSpec
 from tablegate.functions.columns import COUNT
 from tablegate.operators import completeness, history, recon, rules
 from tablegate.plans import checks as plan
 from tablegate.plans.lanes import find_all_hot_keys, find_hot_keys
 from tablegate.plans.results import failure_sample, run_summary
 from tablegate.sources.shared import shared_folder
-from tablegate.sources.tables import batch_slice, current
+from tablegate.sources.tables import FrameTables, batch_slice, current
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,6 +243,14 @@ def foreign_key_order_line(spark, sf):
     return _big(found, "line_number")
 
 
+@query
+def foreign_key_product(spark, sf):
+    """References to a table that no registry entry describes."""
+    fk = ForeignKey("product_id", "product", "product_id")
+    lines, products = t.silver_order_line(spark, sf), t.product(spark, sf)
+    return _big(rules.foreign_key(lines, products, t.ORDER_LINE, fk, HistorySpec(("product_id",))), "line_number")
+
+
 @query
 def rule_shipped_has_date(spark, sf):
     return rules.conditional_rule(t.silver_order(spark, sf), t.ORDER, t.SHIPPED_HAS_DATE)
@@ -338,6 +347,18 @@ def check_results_rules(spark, sf):
     return _results(spark, sf, 3).select(*_RESULT)
 
 
+@query
+def check_results_more_rules(spark, sf):
+    """Rules off by default or on other tables: duplicate keys, and a parent that is not registered."""
+    made = t.tables(spark, sf)
+    tables = FrameTables(made.raw_frames, {**made.curated_frames, "product": t.product(spark, sf)})
+    order = TableSpec("order", t.ORDER, duplicate_rule=True)
+    line = TableSpec("order_line", t.ORDER_LINE, foreign_keys=(ForeignKey("product_id", "product", "product_id"),))
+    parents = t.REGISTRY.__getitem__
+    groups = [g for spec in (order, line) for g in plan.rule_groups(spec, tables, parents)]
+    return plan.check_results(groups).select(*_RESULT)
+
+
 @query
 def check_results_recon(spark, sf):
     return _results(spark, sf, 4).select(
@@ -372,9 +393,18 @@ def pipeline_gate(spark, sf):
 
 @query
 def pipeline_gate_by_run(spark, sf):
-    """The gate over the run log: a verdict per pipeline run."""
-    _, ended = t.run_events(spark, sf)
-    return gate.pipeline_gate(ended, ("pipeline_run_id",))
+    """The gate over the raw run log: a verdict per pipeline run, with reruns and runs still open."""
+    opened, ended = t.run_events(spark, sf)
+    later = F.expr("started_at + INTERVAL 1 DAY")
+    again = ended.where("status <> 'PASS' AND tier = 1").withColumns(
+        {"run_id": F.concat("run_id", F.lit("-again")), "started_at": later, "completed_at": later, "status": F.lit("PASS")}
+    )
+    still = ended.where("warned_checks = 0 AND tier = 2").withColumns(
+        {"run_id": F.concat("run_id", F.lit("-open")), "started_at": later, "completed_at": F.lit(None).cast("timestamp"), "status": F.lit("RUNNING")}
+    )
+    columns = ["run_id", "pipeline_run_id", "tier", "started_at", "completed_at", "status"]
+    events = reduce(DataFrame.unionByName, [x.select(*columns) for x in (opened, ended, again, still)])
+    return gate.pipeline_gate(events, ("pipeline_run_id",))
 
 
 # --- log ----------------------------------------------------------------------------------

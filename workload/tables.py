@@ -297,6 +297,12 @@ def check_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that were ordered, as a parent without a registry entry; those that end in 0 are not current."""
+    parts = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id")).distinct()
+    return parts.withColumn("is_current", F.col("product_id") % 10 != 0)
+
+
 def run_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Rows written when each run opened, and rows written when it ended."""
     log = check_log(spark, sf_dir)
