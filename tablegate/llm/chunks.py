@@ -56,7 +56,7 @@ def ends(texts: list[bytes]) -> list[np.ndarray]:
         data = np.frombuffer(b"".join(t + bytes(WINDOW) for t in todo), np.uint8)
         cut = np.flatnonzero(rolled(data) >> np.uint32(32 - BITS) == 0) + 1
         begin = np.cumsum([0, *(len(t) + WINDOW for t in todo)])
-        at = np.searchsorted(cut, begin)
+        at = np.searchsorted(cut, begin, "right")
         for k, t in enumerate(todo):
             out.append(_merged(cut[at[k] : at[k + 1]] - begin[k], len(t)))
         todo.clear()
@@ -73,9 +73,9 @@ def ends(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def _merged(cuts: np.ndarray, size: int) -> np.ndarray:
-    """Ends without those that follow another end closely; a text's own end is one."""
+    """Ends without those that follow another end or the start closely; a text's own end is one."""
     cuts = cuts[cuts < size]
-    far = np.diff(cuts, prepend=-LEAST) >= LEAST
+    far = np.diff(cuts, prepend=0) >= LEAST
     return np.append(cuts[far], size) if size else cuts[:0]
 
 

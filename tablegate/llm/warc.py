@@ -163,6 +163,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (path, block) != at:
                 parts += close()
                 at, joiner = (path, block), Joiner()
+                if block == 0:  # what stands before the first magic of a file
+                    if piece:
+                        raise ValueError(f"{path}: bytes that belong to no record")
+                    continue
             if (text := joiner.add(piece)) is not None:
                 rows.append(_row(text))
         yield _batch(rows, parts)
@@ -191,7 +195,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     separator = MAGIC.decode("latin-1")
     text = spark.read.option("lineSep", separator).option("encoding", "ISO-8859-1").text(path)
     where = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
-    pieces = text.select(*where, F.col("value").cast("binary").alias("piece")).where("length(piece) > 0")
+    pieces = text.select(*where, F.col("value").cast("binary").alias("piece"))
     scanned = stored(pieces.mapInArrow(_scan, f"{_COLUMNS}, {_PARTS}"))
     left = scanned.where("path is not null").select("path", "block", "place", "starts", "piece")
     left = left.repartition("path").sortWithinPartitions("path", "block", "place")
