@@ -13,16 +13,16 @@ from tablegate.plans.lanes import (
     following,
     lane_keys,
     largest_before,
+    largest_of_key,
     spread,
     sum_before,
     with_lane,
 )
-from tablegate.sources.shared import checkpointed
+from tablegate.sources.shared import checkpointed, has_shared_folder
 from tablegate.sources.tables import current
 
 _RANK_BLOCK = 128
 _WHOLE_RUNS = 4096
-_MAX_LEVEL = 40
 
 
 # --- predicates on single rows ------------------------------------------------------------
@@ -193,7 +193,8 @@ def _ranked(
 
     ``merge`` makes equal rows one row; those of hot keys already are.
 
-    With hot keys this runs a job that stores the rows touching other rows.
+    With hot keys this runs a job that stores the rows touching other rows, if the session names a
+    folder for that; without one they are computed again where they are needed.
 
     The run is [_lo, _hi) in ranks; the rank of a later version is _hi - 1. The columns with
     suffix _n count equal rows as often as they occur, those with suffix _v only inverted rows.
@@ -212,7 +213,7 @@ def _ranked(
         rows = rows.groupBy(*cols([*keys, start, spec.end])).agg(
             F.sum(COUNT).alias(COUNT), F.max("_outer").alias("_outer"), F.max("_inner").alias("_inner")
         )
-    if hot:
+    if hot and has_shared_folder(df.sparkSession):
         # Each step below reads its input twice, for the rows and for the totals of the lanes.
         rows = checkpointed(rows)
 
@@ -269,8 +270,7 @@ def _with_partners(rows: DataFrame, spec: HistorySpec, hot: HotKeys | None, bloc
     own = F.when(F.col("_kind") == 1, F.array(_last_block())).otherwise(blocks)
     rows = rows.withColumn("_block", F.explode(own))
     if hot:
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(parts, *cols(spec.keys), F.col("_block"))
+        rows = rows.repartition(*cols(spec.keys), F.col("_block"))
     later = F.struct(
         (F.col("_hi") - 1).alias("rank"),
         col(spec.start).alias("start"),
@@ -321,12 +321,13 @@ def overlap_counts(
     """
     start, end = col(spec.start), col(spec.end)
     rows = _ranked(df, spec, hot, open_end, merge=True)
+    spread_over = F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS))
+    highest = F.max("_hi").over(Window.partitionBy(*lane_keys(spec.keys, hot)))
     if hot:
-        levels, spread_over = F.lit(_MAX_LEVEL), F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS))
-    else:
-        highest = F.max("_hi").over(Window.partitionBy(*cols(spec.keys)))
-        rows, spread_over = rows.withColumn("_highest", highest), F.lit(0).cast("bigint")
-        levels = _top_bit(F.col("_highest"))
+        rows = carried(rows, spec.keys, {"_of_key": (F.max("_hi"), largest_of_key)})
+        highest = F.coalesce("_of_key", highest)
+    rows = rows.withColumn("_highest", highest)
+    levels = _top_bit(F.col("_highest"))
     rows = rows.where((F.col("_kind") == 0) | (end < start))
 
     def part(level: Column, block: Column, sign: int) -> Column:
@@ -351,9 +352,8 @@ def overlap_counts(
     rows = rows.withColumn("_part", F.explode(parts)).withColumns(
         {"_level": F.col("_part.level"), "_block": F.col("_part.block"), "_sign": F.col("_part.sign")}
     )
-    if hot:
-        shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(shuffles, *cols(spec.keys), F.col("_level"), F.col("_block"))
+    # Only rows that touch others are left; blocks of one key go to different tasks.
+    rows = rows.repartition(*cols(spec.keys), F.col("_level"), F.col("_block"))
     is_later = F.col("_kind") == 1
     in_time = Window.partitionBy(*cols(spec.keys), F.col("_level"), F.col("_block")).orderBy(
         F.when(is_later, end).otherwise(start), F.col("_kind").desc()

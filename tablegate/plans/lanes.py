@@ -2,15 +2,17 @@
 
 Windows partitioned by key put all versions of a key into one task. That is the right plan
 for the usual handful of versions, but not for a key that holds a large share of the table.
-``find_hot_keys`` looks for such keys with one pass over the key columns (a frequent-items
-sketch, so no row is shuffled) and picks split points on their start dates. ``spread`` then
+``find_hot_keys`` counts the keys of a sample, each by itself, and picks split points on the
+starts of the large ones. ``spread`` then
 cuts each hot key into lanes, ranges of start dates that are windowed separately, and
 ``carried`` hands per-lane totals from lane to lane. A table without hot keys gets the plain
 window plan.
 
-The sketch only steers the layout: every row takes part in the checks, and results are the same
-whatever keys it reports. So it need not see every row either. It reads as large a share of them
-as shows about ``_SEEN_ROWS`` rows of a key that is just hot.
+The sample only steers the layout: every row takes part in the checks, and results are the same
+whatever keys it finds. It is as large a share of the rows as shows about ``_SEEN_ROWS`` rows of a
+key that is just hot. Should more than ``MOST_KEYS`` keys be hot, the largest are cut: each of the
+others holds less than one row in ``MOST_KEYS``, which is no more than a task's share of a table
+that large.
 
 Lanes cannot part versions with equal starts. Equal rows are merged before they are shuffled,
 so such a lane holds at most one row per distinct pair of end and flag.
@@ -37,19 +39,17 @@ LANE_ROWS = 1_000_000
 LANE = "_lane"
 _HASH = "_key_hash"
 _COLD = -1
-_CUTTABLE = (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType)
+_WITH_QUANTILES = (T.DateType, T.TimestampType, T.TimestampNTZType, T.NumericType)
 _SEEN_ROWS = 10_000
-_SKETCH_GROUPS = 64
-_SKETCH_TOP = 100
-_SKETCH_ITEMS = 4096
+MOST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
     """Hashes of the hot keys, each with ascending split points of the start column.
 
-    Holds at most ``_SKETCH_GROUPS * _SKETCH_TOP`` keys and about one split per ``lane_rows``
-    rows of a hot key, two at most.
+    Holds at most ``MOST_KEYS`` keys and about one split per ``lane_rows`` rows of a hot key, two
+    at most.
     """
 
     splits: Mapping[int, Sequence] = field(default_factory=dict)
@@ -62,28 +62,15 @@ class HotKeys:
 def find_hot_keys(
     df: DataFrame, spec: HistorySpec, hot_rows: int = HOT_ROWS, lane_rows: int = LANE_ROWS
 ) -> HotKeys:
-    """Keys with about ``hot_rows`` versions or more. Runs one job, two if there are any.
-
-    Start columns that have no quantiles, such as strings, cannot be cut; their tables keep the
-    plain plan.
-    """
+    """Keys with about ``hot_rows`` versions or more. Runs one job, two if there are any."""
     start_type = df.schema[spec.start].dataType
-    if not isinstance(start_type, _CUTTABLE):
-        return HotKeys()
     share = min(1.0, _SEEN_ROWS / hot_rows)
     hashed = df.select(F.xxhash64(*cols(spec.keys)).alias(_HASH), col(spec.start).alias("_s"))
     if share < 1:
         hashed = hashed.sample(share, seed=0)
-    top = (
-        hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_part"))
-        .agg(F.expr(f"approx_top_k({_HASH}, {_SKETCH_TOP}, {_SKETCH_ITEMS})").alias("_top"))
-        .select(F.explode("_top").alias("_top"))
-        .groupBy(F.col("_top.item").alias(_HASH))
-        .agg(F.sum("_top.count").alias(COUNT))
-        .where(F.col(COUNT) >= hot_rows * share)
-    )
+    counts = hashed.groupBy(_HASH).agg(F.count("*").alias(COUNT)).where(F.col(COUNT) >= hot_rows * share)
     by_lanes: dict[int, list[int]] = {}
-    for r in top.collect():
+    for r in counts.orderBy(F.col(COUNT).desc(), _HASH).limit(MOST_KEYS).collect():
         lanes = 1 << ceil(log2(max(2, r[COUNT] / share / lane_rows)))
         by_lanes.setdefault(lanes, []).append(r[_HASH])
     if not by_lanes:
@@ -93,10 +80,28 @@ def find_hot_keys(
 
 
 def _cuts(rows: DataFrame, lanes: int, hashes: Sequence[int]) -> DataFrame:
-    """Start dates that cut each of the keys into ``lanes`` lanes of about equal size."""
-    marks = [i / lanes for i in range(1, lanes)]
-    cuts = F.percentile_approx("_s", marks, max(10_000, 10 * lanes)).alias("_cuts")
-    return rows.where(F.col(_HASH).isin(list(hashes))).groupBy(_HASH).agg(cuts)
+    """Starts that cut each of the keys into ``lanes`` lanes of about equal size.
+
+    Starts without quantiles, such as strings, are cut at those of a sample of distinct values: for
+    each of a fixed number of hash values the start with the smallest second hash.
+    """
+    rows = _of_keys(rows, hashes, "left_semi")
+    if isinstance(rows.schema["_s"].dataType, _WITH_QUANTILES):
+        marks = [i / lanes for i in range(1, lanes)]
+        cuts = F.percentile_approx("_s", marks, max(10_000, 10 * lanes)).alias("_cuts")
+    else:
+        draw = F.pmod(F.xxhash64("_s"), F.lit(max(1024, 16 * lanes))).alias("_draw")
+        rows = rows.groupBy(_HASH, draw).agg(F.min_by("_s", F.xxhash64("_s", F.lit(1))).alias("_s"))
+        at = F.sequence(F.lit(1), F.lit(lanes - 1))
+        every = F.sort_array(F.collect_list("_s"))
+        cuts = F.transform(at, lambda i: F.get(every, F.floor(i * F.size(every) / lanes).cast("int"))).alias("_cuts")
+    return rows.groupBy(_HASH).agg(cuts)
+
+
+def _of_keys(rows: DataFrame, hashes: Sequence[int], how: str) -> DataFrame:
+    """Rows whose key hash is, or is not, one of at most ``MOST_KEYS``."""
+    names = rows.sparkSession.createDataFrame([(h,) for h in hashes], f"{_HASH} long")
+    return rows.join(F.broadcast(names), _HASH, how)
 
 
 def find_all_hot_keys(tables: Mapping[str, tuple[DataFrame, HistorySpec]]) -> dict[str, HotKeys]:
@@ -111,7 +116,7 @@ def find_all_hot_keys(tables: Mapping[str, tuple[DataFrame, HistorySpec]]) -> di
 
 
 def _split_table(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """(hash, split points in groups of equal width), a few rows that may be broadcast."""
+    """(hash, split points in groups of equal width). The planner knows its size and joins by it."""
     rows = []
     for h, points in hot.splits.items():
         width = max(1, ceil(sqrt(len(points))))
@@ -123,7 +128,7 @@ def _split_table(df: DataFrame, hot: HotKeys) -> DataFrame:
             T.StructField("_groups", T.ArrayType(T.ArrayType(hot.start_type))),
         ]
     )
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def with_lane(df: DataFrame, keys: Sequence[str], at: str, hot: HotKeys) -> DataFrame:
@@ -152,10 +157,10 @@ def spread(df: DataFrame, keys: Sequence[str], start: str, hot: HotKeys | None)
     """
     if not hot:
         return df.withColumn(COUNT, F.lit(1).cast("bigint"))
-    hashes = list(hot.splits)
-    is_hot = F.xxhash64(*cols(keys)).isin(hashes)
-    cold = df.where(~is_hot).withColumn(COUNT, F.lit(1).cast("bigint")).withColumn(LANE, F.lit(_COLD))
-    merged = df.where(is_hot).groupBy(*cols(df.columns)).agg(F.count("*").alias(COUNT))
+    hashed = df.withColumn(_HASH, F.xxhash64(*cols(keys)))
+    hot_rows, cold = (_of_keys(hashed, list(hot.splits), how).drop(_HASH) for how in ("left_semi", "left_anti"))
+    cold = cold.withColumn(COUNT, F.lit(1).cast("bigint")).withColumn(LANE, F.lit(_COLD))
+    merged = hot_rows.groupBy(*cols(df.columns)).agg(F.count("*").alias(COUNT))
     return cold.unionByName(with_lane(merged, keys, start, hot))
 
 
@@ -171,8 +176,9 @@ def carried(
     """Add a column per entry of ``totals``: a lane total seen from the other lanes of its key.
 
     An entry is an aggregate per lane and the window function to apply to it over the lanes of
-    a key in order. The table of lanes has one row per lane, so its size is bounded by the
-    number of lanes and it may be broadcast. Rows of other keys get NULL.
+    a key in order. The table of lanes has one row per lane; the planner sends it to every task
+    if it is small, and else joins on key and lane, which no hot key can overload. Rows of other
+    keys get NULL.
 
     All totals of a step share one table, as each table computes its input a second time.
     """
@@ -191,7 +197,7 @@ def carried(
     match = F.col(LANE) == F.col("_carry_lane")
     for k, n in zip(keys, names):
         match = match & col(k).eqNullSafe(F.col(n))
-    return df.join(F.broadcast(lanes), match, "left").drop("_carry_lane", *names)
+    return df.join(lanes, match, "left").drop("_carry_lane", *names)
 
 
 def following(total: str, lanes: WindowSpec) -> Column:
@@ -203,5 +209,9 @@ def largest_before(total: str, lanes: WindowSpec) -> Column:
     return F.max(total).over(lanes.rowsBetween(Window.unboundedPreceding, -1))
 
 
+def largest_of_key(total: str, lanes: WindowSpec) -> Column:
+    return F.max(total).over(lanes.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
 def sum_before(total: str, lanes: WindowSpec) -> Column:
     return F.coalesce(F.sum(total).over(lanes.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -37,6 +37,12 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def has_shared_folder(spark: SparkSession) -> bool:
+    """Whether rows can be stored where every executor reads them."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return bool(named) or spark.sparkContext.master.startswith("local")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` stored in the checkpoint folder, so that several readers do not compute it again."""
     context = df.sparkSession.sparkContext

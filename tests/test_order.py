@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from brute import broken_chain, overlaps, profile
+from pyspark.sql import functions as F
 
 from tablegate.config import HistorySpec
 from tablegate.functions.columns import COUNT
@@ -117,7 +118,8 @@ def test_hot_keys_are_found_and_cut(spark):
     for kind in ("timestamp", "timestamp_ntz"):
         other = df.selectExpr("k", f"cast(s as {kind}) as s")
         assert len(next(iter(find_hot_keys(other, SPEC, 500, 100).splits.values()))) == len(cuts)
-    assert not find_hot_keys(df.selectExpr("k", "cast(s as string) as s"), SPEC, 500, 100)
+    texts = find_hot_keys(df.selectExpr("k", "cast(s as string) as s"), SPEC, 500, 100)
+    assert len(next(iter(texts.splits.values()))) >= 4
     assert not find_hot_keys(df, SPEC)
     assert not find_hot_keys(df.limit(0), SPEC)
 
@@ -140,3 +142,20 @@ def test_a_hot_key_without_any_start(spark):
     assert isinstance(hot, HotKeys) and hot
     assert history.history_profile(df, SPEC, hot).first()["null_start"] == 30
     assert history.overlapping_ranges(df, SPEC, hot).count() == 0
+
+
+def test_keys_of_a_ten_thousandth_of_the_rows_are_found(spark):
+    """Twenty keys of 4,000 rows among twenty million."""
+    key = F.when(F.col("id") < 80_000, F.col("id") % 20).otherwise(F.col("id"))
+    df = spark.range(20_000_000).select(key.alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 3000).cast("int")).alias("s"))
+    hot = find_hot_keys(df, SPEC, hot_rows=2000, lane_rows=1000)
+    assert len(hot.splits) == 20 and all(len(cuts) >= 2 for cuts in hot.splits.values())
+
+
+def test_status_does_not_depend_on_a_folder(spark, monkeypatch):
+    rows = [(1, date(2020, 1, 1 + i % 28), date(2020, 1, 3 + i % 20), True) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, s date, e date, cur boolean")
+    hot = find_hot_keys(df, SPEC, 100, 50)
+    want = history.overlap_counts(df, SPEC, hot).first()[COUNT]
+    monkeypatch.setattr(history, "has_shared_folder", lambda spark: False)
+    assert hot and history.overlap_counts(df, SPEC, hot).first()[COUNT] == want
