@@ -23,6 +23,9 @@ def _recent(log: DataFrame, time_col: str, first_day: Column) -> DataFrame:
     return log.where(F.col(time_col) >= first_day.cast(log.schema[time_col].dataType))
 
 
+# The columns of the six reports, which their readers know by name.
+
+
 def recent_runs(runs: DataFrame, as_of: date | None = None, days: int = 7) -> DataFrame:
     """Runs of the last days with their duration in whole seconds, newest first."""
     return (

@@ -86,7 +86,7 @@ def key_coverage_order_line(spark, sf):
 @query
 def numeric_sum_recon(spark, sf):
     return completeness.numeric_sum_recon(
-        t.bronze_order(spark, sf), t.silver_order(spark, sf), t.ORDER, t.BATCH, ["order_total", "tax_amount"]
+        t.bronze_order(spark, sf), t.silver_order(spark, sf), t.ORDER, t.BATCH, t.REGISTRY["order"].sum_columns
     )
 
 
@@ -97,7 +97,7 @@ def numeric_sum_recon_order_line(spark, sf):
         t.silver_order_line(spark, sf),
         t.ORDER_LINE,
         t.BATCH,
-        ["line_total", "quantity"],
+        t.REGISTRY["order_line"].sum_columns,
     )
 
 
@@ -199,36 +199,29 @@ def orphan_keys(spark, sf):
 
 @query
 def required_fields(spark, sf):
-    return rules.required_fields(
-        t.silver_order(spark, sf), t.ORDER, ["order_id", "customer_id", "order_date", "status"]
-    )
+    return rules.required_fields(t.silver_order(spark, sf), t.ORDER, t.REGISTRY["order"].required)
 
 
 @query
 def required_fields_customer(spark, sf):
-    return rules.required_fields(
-        t.silver_customer(spark, sf), t.CUSTOMER, ["customer_id", "email", "created_date"]
-    )
+    return rules.required_fields(t.silver_customer(spark, sf), t.CUSTOMER, t.REGISTRY["customer"].required)
 
 
 @query
 def numeric_range(spark, sf):
-    return rules.numeric_range(t.silver_order(spark, sf), t.ORDER, "order_total", 0, None)
+    bounds = t.REGISTRY["order"].ranges["order_total"]
+    return rules.numeric_range(t.silver_order(spark, sf), t.ORDER, "order_total", *bounds)
 
 
 @query
 def numeric_ranges_order_line(spark, sf):
-    found = rules.numeric_ranges(
-        t.silver_order_line(spark, sf),
-        t.ORDER_LINE,
-        {"quantity": (1, 10000), "unit_price": (0, None), "line_total": (0, None)},
-    )
+    found = rules.numeric_ranges(t.silver_order_line(spark, sf), t.ORDER_LINE, t.REGISTRY["order_line"].ranges)
     return _big(found, "line_number")
 
 
 @query
 def foreign_key(spark, sf):
-    fk = ForeignKey("customer_id", "customer", "customer_id")
+    (fk,) = t.REGISTRY["order"].foreign_keys
     return rules.foreign_key(
         t.silver_order(spark, sf), t.silver_customer(spark, sf), t.ORDER, fk, t.CUSTOMER
     )
@@ -236,7 +229,7 @@ def foreign_key(spark, sf):
 
 @query
 def foreign_key_order_line(spark, sf):
-    fk = ForeignKey("order_id", "order", "order_id")
+    (fk,) = t.REGISTRY["order_line"].foreign_keys
     found = rules.foreign_key(
         t.silver_order_line(spark, sf), t.silver_order(spark, sf), t.ORDER_LINE, fk, t.ORDER
     )

@@ -20,7 +20,7 @@ CUSTOMER = HistorySpec(("customer_id",))
 ORDER = HistorySpec(("order_id",))
 ORDER_LINE = HistorySpec(("order_id", "line_number"))
 
-# Rule predicates of the example registry.
+# The rule predicates below, and all names, columns, bounds and expressions of the registry.
 SHIPPED_HAS_DATE = "is_current = true AND status = 'SHIPPED' AND ship_date IS NULL"
 CANCELLED_TOTAL = "is_current = true AND status = 'CANCELLED' AND order_total > 0"
 CORPORATE_NAME = (
