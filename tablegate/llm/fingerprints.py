@@ -8,6 +8,8 @@ digits. The share of equal bins is corrected for bins that agree by chance.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,6 +91,17 @@ def likeness(left: Column, right: Column) -> Column:
     return F.when(left == right, 1.0).when((left == "") | (right == ""), 0.0).otherwise(corrected)
 
 
+def _longs(values: list[int]) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<long>") if len(values) < 2 else F.lit(values).cast("array<long>")
+
+
+def _bucket(key: Column, splits: list[int]) -> Column:
+    """Number of the last split that is no larger than the key, found by groups and then in one group."""
+    width = max(1, isqrt(len(splits)))
+    upto = lambda values: F.size(F.filter(values, lambda s: s <= key))
+    return let(upto(_longs(splits[::width])) - 1, lambda g: g * width + upto(F.slice(_longs(splits), g * width + 1, width)) - 1)
+
+
 def compared_with_edits(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint against that of its edited text and of the next document.
 
@@ -105,12 +118,13 @@ def compared_with_edits(docs: DataFrame) -> DataFrame:
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx(key, [i / n for i in range(n)], 100 * n), F.min(key)).first()
     splits = sorted({*(cuts[0] or []), *([] if cuts[1] is None else [cuts[1]])})
-    starts = F.lit(splits) if splits else F.array().cast("array<long>")
-    bucket = F.size(F.filter(starts, lambda s: s <= key)) - 1
-    last = len(splits) - 1
+    rows = rows.withColumn("at", _bucket(key, splits))
+    at, last = F.col("at"), len(splits) - 1
     # (bucket, order): its own, and for the first id of a bucket also the end of the bucket before.
-    guard = F.when(F.array_contains(starts, key), F.when(bucket == 0, F.lit(last)).otherwise(bucket - 1))
-    copies = F.array_compact(F.array(F.struct(bucket.alias("bucket"), F.lit(0).alias("late")), F.when(guard.isNotNull(), F.struct(guard.alias("bucket"), F.lit(1).alias("late")))))
+    first = F.get(_longs(splits), at) == key
+    guard = F.struct(F.when(at == 0, F.lit(last)).otherwise(at - 1).alias("bucket"), F.lit(1).alias("late"))
+    own = F.struct(at.alias("bucket"), F.lit(0).alias("late"))
+    copies = F.when(first, F.array(own, guard)).otherwise(F.array(own))
     dealt = rows.withColumn("copy", F.explode(copies)).select("doc_id", "text", "copy.*").repartition("bucket")
     dealt = dealt.withColumn("fingerprint", fingerprint(F.col("text")))
     line = Window.partitionBy("bucket").orderBy("late", "doc_id", "text")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablegate.llm.frames import stored
 
 #: Words of a block, and words of a shard; a shard's blocks are ranked inside one row.
-BLOCK_WORDS = 64
+BLOCK_WORDS = 32
 SHARD_WORDS = 1 << 20
 EPOCHS = 2
 SHARE = 1.5

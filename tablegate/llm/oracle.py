@@ -9,7 +9,7 @@ def _draw(*parts) -> str:
     return _DRAW.format(", ".join(f"{p}::VARCHAR" if isinstance(p, str) else f"'{p}'" for p in parts))
 
 
-def mix(docs: str = "documents", block: int = 64, shard: int = 1 << 20, seed: int = 17) -> str:
+def mix(docs: str = "documents", block: int = 32, shard: int = 1 << 20, seed: int = 17) -> str:
     """Query of ``mixed``: every seat is listed, the highest quotients win, and every block is a row."""
     return f"""
 WITH sized AS (
