@@ -247,7 +247,8 @@ def _tokens(path: str):
             ids = [np.frombuffer(with_codec.encode(t), "<u4") for t in texts]
             back = [with_codec.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]
             ends = np.cumsum([0, *map(len, ids)])
-            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([[], *ids]).astype(np.int32)))
+            flat = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             rest = pa.Table.from_batches([batch]).drop_columns("text")
             rest = rest.append_column("n_tokens", pa.array(np.diff(ends), pa.int64())).append_column("tokens", tokens)
             yield from rest.append_column("round_trip", pa.array(back)).combine_chunks().to_batches()

@@ -73,7 +73,9 @@ def upper_bounds(bits: np.ndarray, factors: np.ndarray, others: np.ndarray) -> n
     return np.minimum(estimate, certain)
 
 
-def links(x: np.ndarray, bits: np.ndarray, factors: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def links(
+    x: np.ndarray, bits: np.ndarray, factors: np.ndarray, y: np.ndarray, threshold: float, same: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (row of x, row of y) with a cosine of at least ``threshold``; each pair once if both are the same rows."""
     for k in range(0, len(x), 256):
         may = upper_bounds(bits[k : k + 256], factors[k : k + 256], y) >= threshold - 1e-9
@@ -96,7 +98,8 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = None if x is None else repr((str(label), len(x))).encode() + x.tobytes()
             names.append(None if raw is None else hashlib.blake2b(raw, digest_size=16).hexdigest())
             units.append(None if x is None else x.tobytes())
-        columns = [batch.column("vec_id"), batch.column("label"), pa.array(names, pa.string()), pa.array(units, pa.binary())]
+        made = [pa.array(names, pa.string()), pa.array(units, pa.binary())]
+        columns = [batch.column("vec_id"), batch.column("label"), *made]
         yield pa.RecordBatch.from_arrays(columns, ["vec_id", "label", "name", "x"])
 
 
@@ -118,8 +121,15 @@ def _coded(pivots: dict[int, np.ndarray]):
                 for k, i in enumerate(at):
                     cells[i], all_bits[i], factors[i] = int(angle[k].argmin()), bits[k].tobytes(), float(factor[k])
                     angles[i] = angle[k].tolist()
-            columns = [pa.array(cells, pa.int32()), pa.array(dims, pa.int32()), pa.array(all_bits, pa.binary()), pa.array(factors), pa.array(angles, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "cell", "dim", "bits", "factor", "angles"])
+            columns = [
+                pa.array(cells, pa.int32()),
+                pa.array(dims, pa.int32()),
+                pa.array(all_bits, pa.binary()),
+                pa.array(factors, pa.float64()),
+                pa.array(angles, pa.list_(pa.float64())),
+            ]
+            names = [*batch.schema.names, "cell", "dim", "bits", "factor", "angles"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names)
 
     return run
 
@@ -148,18 +158,26 @@ def _compare(threshold: float):
                             groups.join(u, v)
             roots = [names[groups.find(k)] for k in range(len(x))]
             keep = [k for k in range(len(x)) if counts[k]]
-            columns = [pa.array([names[k] for k in keep], pa.string()), pa.array([roots[k] for k in keep], pa.string()), pa.array([int(counts[k]) for k in keep], pa.int64())]
+            columns = [
+                pa.array([names[k] for k in keep], pa.string()),
+                pa.array([roots[k] for k in keep], pa.string()),
+                pa.array([int(counts[k]) for k in keep], pa.int64()),
+            ]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "links"])
 
     return run
 
 
 def _pivots(entries: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """For each length of vectors up to PIVOTS entries, those with the smallest names: a bounded sample."""
-    dims = [r[0] for r in entries.select((F.length("x") / 8).cast("int").alias("dim")).distinct().orderBy("dim").limit(16).collect()]
+    """For each of the 16 smallest lengths of vectors, at most PIVOTS of them, those with the smallest names.
+
+    Vectors of other lengths all lie in one cell, which costs time and no link.
+    """
+    sizes = entries.select((F.length("x") / 8).cast("int").alias("dim")).distinct().orderBy("dim").limit(16)
+    wanted = max(1, min(PIVOTS, count // PER_PIVOT))
     out = {}
-    for dim in dims:
-        rows = entries.where(F.length("x") == 8 * dim).orderBy("name").select("x").limit(max(1, min(PIVOTS, count // PER_PIVOT))).collect()
+    for (dim,) in sizes.collect():
+        rows = entries.where(F.length("x") == 8 * dim).orderBy("name").select("x").limit(wanted).collect()
         out[dim] = np.stack([np.frombuffer(r[0]) for r in rows])
     return out
 
@@ -173,21 +191,33 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     do vectors of different lengths. A row with a null vec_id links with nothing, has a null component and is not kept.
     Repeated rows are copies that link with each other. Other columns are not read. An empty table gives no rows.
     """
-    rows = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding").mapInArrow(_entries, f"vec_id long, label {vectors.schema['label'].dataType.simpleString()}, name string, x binary"))
-    entries = rows.where("name is not null").groupBy("name").agg(F.first("label").alias("label"), F.first("x").alias("x"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
-    entries = stored(entries)
+    kind = vectors.schema["label"].dataType.simpleString()
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
+    rows = stored(rows.mapInArrow(_entries, f"vec_id long, label {kind}, name string, x binary"))
+    entries = stored(
+        rows.where("name is not null")
+        .groupBy("name")
+        .agg(
+            F.first("label").alias("label"),
+            F.first("x").alias("x"),
+            F.count("*").alias("copies"),
+            F.min("vec_id").alias("least"),
+        )
+    )
     pivots = _pivots(entries, entries.count())
-    kind = entries.schema["label"].dataType.simpleString()
-    coded = entries.select("name", "label", "x", "copies").mapInArrow(_coded(pivots), f"name string, label {kind}, x binary, copies long, cell int, dim int, bits binary, factor double, angles array<double>")
-    coded = stored(coded)
+    schema = f"name string, label {kind}, x binary, copies long"
+    schema += ", cell int, dim int, bits binary, factor double, angles array<double>"
+    coded = stored(entries.select("name", "label", "x", "copies").mapInArrow(_coded(pivots), schema))
     sizes = coded.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     part = F.pmod(F.xxhash64("name"), "parts")
     blocks = coded.join(sizes, ["label", "dim", "cell"]).withColumn("block", F.concat_ws("/", "dim", "cell", part))
     pairs = _meeting(blocks, threshold)
-    sides = pairs.withColumn("way", F.explode(F.array(F.struct(F.col("left").alias("block"), F.lit(0).alias("side")), F.struct(F.col("right").alias("block"), F.lit(1).alias("side")))))
+    ways = [F.struct(F.col(c).alias("block"), F.lit(k).alias("side")) for k, c in enumerate(("left", "right"))]
+    sides = pairs.withColumn("way", F.explode(F.array(*ways)))
     sides = sides.where("left <> right or way.side = 0").select("label", "left", "right", "way.*")
     dealt = blocks.select("label", "block", "name", "x", "bits", "factor", "copies").join(sides, ["label", "block"])
-    dealt = dealt.select(F.concat_ws("|", F.col("label").cast("string"), "left").alias("left"), F.concat_ws("|", F.col("label").cast("string"), "right").alias("right"), "side", "name", "x", "bits", "factor", "copies")
+    whole = [F.concat_ws("|", F.col("label").cast("string"), c).alias(c) for c in ("left", "right")]
+    dealt = dealt.select(*whole, "side", "name", "x", "bits", "factor", "copies")
     found = dealt.repartition("left", "right").sortWithinPartitions("left", "right", "name")
     found = stored(found.mapInArrow(_compare(threshold), "a string, b string, links long"))
     roots = components(found.select("a", "b").distinct()).withColumnsRenamed({"node": "name", "root": "group"})

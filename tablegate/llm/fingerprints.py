@@ -28,7 +28,8 @@ def _shingles(text: Column) -> Column:
     """Hashes of the five-word shingles; of fewer words the whole sequence, of none nothing."""
 
     def of_words(h: Column) -> Column:
-        five = F.transform(F.sequence(F.lit(0), F.size(h) - WIDTH), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(WIDTH)]))
+        at = F.sequence(F.lit(0), F.size(h) - WIDTH)
+        five = F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(WIDTH)]))
         whole = F.when(F.size(h) > 0, F.array(F.xxhash64(h, F.lit(WIDTH)))).otherwise(F.array().cast("array<long>"))
         return F.when(F.size(h) >= WIDTH, five).otherwise(whole)
 
@@ -60,7 +61,8 @@ def _bins(minima: Column) -> Column:
 def _borrowed(bins: Column, empty: Column) -> list[Column]:
     """What an empty bin may borrow, in order; the last entry looks at every bin there is."""
     picks = [F.get(bins, F.pmod(F.xxhash64(empty, F.lit(t)), F.lit(BINS)).cast("int")) for t in range(_ATTEMPTS)]
-    start, step = F.pmod(F.xxhash64(empty, F.lit(-1)), F.lit(BINS)), F.pmod(F.xxhash64(empty, F.lit(-2)), F.lit(BINS // 2)) * 2 + 1
+    start = F.pmod(F.xxhash64(empty, F.lit(-1)), F.lit(BINS))
+    step = F.pmod(F.xxhash64(empty, F.lit(-2)), F.lit(BINS // 2)) * 2 + 1
     place = lambda t: F.pmod(start + t * step, F.lit(BINS)).cast("int")
     found = lambda so_far, t: F.coalesce(so_far, F.get(bins, place(t)))
     return [*picks, F.aggregate(F.sequence(F.lit(0), F.lit(BINS - 1)), F.lit(None).cast("long"), found)]
@@ -99,7 +101,8 @@ def _bucket(key: Column, splits: list[int]) -> Column:
     """Number of the last split that is no larger than the key, found by groups and then in one group."""
     width = max(1, isqrt(len(splits)))
     upto = lambda values: F.size(F.filter(values, lambda s: s <= key))
-    return let(upto(_longs(splits[::width])) - 1, lambda g: g * width + upto(F.slice(_longs(splits), g * width + 1, width)) - 1)
+    group = lambda g: g * width + upto(F.slice(_longs(splits), g * width + 1, width)) - 1
+    return let(upto(_longs(splits[::width])) - 1, group)
 
 
 def compared_with_edits(docs: DataFrame) -> DataFrame:

@@ -78,7 +78,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for word, n in bag.items():
                 np.add.at(total, grams(word), n)
             out.append(total.tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(list(bags), pa.string()), pa.array(out, pa.list_(pa.int64()))], ["lang", "counts"])
+        columns = [pa.array(list(bags), pa.string()), pa.array(out, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "counts"])
 
 
 def held_out(folds: int = 5):
@@ -103,7 +104,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(languages, np.log(table / table.sum(0)))
 
 
-def proportions(likelihoods: np.ndarray, counts: np.ndarray, starts: np.ndarray, allowed: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def proportions(
+    likelihoods: np.ndarray, counts: np.ndarray, starts: np.ndarray, allowed: np.ndarray, rounds: int = ROUNDS
+) -> tuple[np.ndarray, np.ndarray]:
     """Proportions of the allowed languages and log-likelihood for each document.
 
     ``likelihoods``: for each word of each document, relative to its best language; ``starts``: where documents begin.

@@ -205,7 +205,8 @@ def _smallest_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for batch in few_rows(batches):
         found = word_hashes(batch.column("text").cast(pa.binary()).to_pylist())
         low = [int(shingles(w).min() >> np.uint64(1)) if len(w) else -1 for w in found]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(low, pa.int64())], ["doc_id", "toxic", "key"])
+        columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(low, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "key"])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +225,8 @@ def _sequences(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds = [kinds_of(model, t).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(kinds, pa.binary())], ["doc_id", "toxic", "kinds"])
+            columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(kinds, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "kinds"])
 
     return run
 

@@ -125,6 +125,7 @@ class Joiner:
 
 
 _COLUMNS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
+_ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
 _PARTS = "path string, block long, place long, starts boolean, piece binary"
 
 
@@ -140,8 +141,8 @@ def _row(data: bytes) -> tuple:
 
 
 def _batch(rows: list[tuple], parts: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-    names = [x.split()[0] for x in f"{_COLUMNS}, {_PARTS}".split(", ")]
+    named = [x.split() for x in f"{_COLUMNS}, {_PARTS}".split(", ")]
+    kinds, names = [_ARROW[kind] for _, kind in named], [name for name, _ in named]
     every = [(*r, None, None, None, None, None) for r in rows] + [(None,) * 6 + p for p in parts]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in every], t) for k, t in enumerate(kinds)], names)
 

@@ -9,14 +9,15 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from tablegate.llm import jaccard, language, mixing, pii
+from tablegate.llm import jaccard, mixing, pii
 
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(1000, None, None, None, None), (1001, " \n", "en", "s", 2), (1002, "12 34", "en", "s", 5), (1003, "a b", None, None, 3), (1003, "c d", "en", None, 3)]
+    rows = [(1000, None, None, None, None), (1001, " \n", "en", "s", 2), (1002, "12 34", "en", "s", 5)]
+    rows += [(1003, "a b", None, None, 3), (1003, "c d", "en", None, 3)]
     more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     df = spark.read.parquet(f"{SF}/documents.parquet")
     return df.union(more).union(df.limit(2)).cache()
