@@ -32,7 +32,7 @@ from tablegate.config import (
     TableSpec,
     Tier,
 )
-from tablegate.functions.columns import COUNT, col, cols, key_json
+from tablegate.functions.columns import COUNT, key_json
 from tablegate.operators import completeness, history, recon, rules
 from tablegate.plans.lanes import HotKeys
 from tablegate.sources.tables import Source, Tables

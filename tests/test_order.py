@@ -147,7 +147,8 @@ def test_a_hot_key_without_any_start(spark):
 def test_keys_of_a_ten_thousandth_of_the_rows_are_found(spark):
     """Twenty keys of 4,000 rows among twenty million."""
     key = F.when(F.col("id") < 80_000, F.col("id") % 20).otherwise(F.col("id"))
-    df = spark.range(20_000_000).select(key.alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 3000).cast("int")).alias("s"))
+    start = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 3000).cast("int"))
+    df = spark.range(20_000_000).select(key.alias("k"), start.alias("s"))
     hot = find_hot_keys(df, SPEC, hot_rows=2000, lane_rows=1000)
     assert len(hot.splits) == 20 and all(len(cuts) >= 2 for cuts in hot.splits.values())
 

@@ -393,7 +393,12 @@ def pipeline_gate_by_run(spark, sf):
         {"run_id": F.concat("run_id", F.lit("-again")), "started_at": later, "completed_at": later, "status": F.lit("PASS")}
     )
     still = ended.where("warned_checks = 0 AND tier = 2").withColumns(
-        {"run_id": F.concat("run_id", F.lit("-open")), "started_at": later, "completed_at": F.lit(None).cast("timestamp"), "status": F.lit("RUNNING")}
+        {
+            "run_id": F.concat("run_id", F.lit("-open")),
+            "started_at": later,
+            "completed_at": F.lit(None).cast("timestamp"),
+            "status": F.lit("RUNNING"),
+        }
     )
     columns = ["run_id", "pipeline_run_id", "tier", "started_at", "completed_at", "status"]
     events = reduce(DataFrame.unionByName, [x.select(*columns) for x in (opened, ended, again, still)])
