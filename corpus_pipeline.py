@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.llm import bpe, jaccard, language, mixing, pii
-from tablegate.llm.frames import stored, with_ids
+from tablegate.llm.frames import find_package, stored, with_ids
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _SEED = 23
@@ -94,6 +94,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.sources.shared import shared_folder
@@ -14,6 +16,14 @@ from tablegate.sources.shared import shared_folder
 BROADCAST_ROWS = 1_000_000
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it lies, whatever folder the driver was started in."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join([root, known] if known else [root])
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, so later steps do not depend on how it was made."""
     path = shared_folder(df.sparkSession)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pii, toxicity, warc
+from tablegate.llm.frames import find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +19,7 @@ def query(f):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
