@@ -20,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.frames import stored
+from tablegate.llm.frames import few_rows, stored
 
 UNKNOWN = "und"
 #: The model is fitted on at most so many labelled documents, those with the smallest hashes of their doc_id.
 SAMPLE = 20_000
 BUCKETS = 1 << 15
 ROUNDS = 8
-_CACHE, _CACHE_WORD = 1 << 18, 40
+_CACHE = 1 << 16
 _LETTERS = re.compile(r"[^\W\d_]+")
 _PART = 512
 
@@ -68,7 +68,7 @@ class Model:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trigram counts of each language in each batch, as one block of numbers."""
-    for batch in batches:
+    for batch in few_rows(batches, 5000):
         bags: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             bags.setdefault(lang, Counter()).update(words(text))
@@ -168,7 +168,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
 
 def _identify(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             found, scores = predict(model, batch.column("text").to_pylist())
             more = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score"])
