@@ -432,6 +432,30 @@ def test_trees_add_what_looks_alike():
     assert pii.redacted("card 4111111111111112 end", every[0]) == "card <CARD> end"
 
 
+def _sentences(rng, i):
+    """Base spans in their contexts, the same contexts with obscured ones, and numbers that are no phones."""
+    d = lambda n: "".join(rng.choice("23456789") for _ in range(n))
+    phone, name = f"{d(3)}-{d(3)}-{d(4)}", f"{rng.choice('abcdef')}{d(3)}"
+    yield f"please call {'' if i % 4 == 0 else '+1 '}{phone} before noon"
+    yield f"write to {name}{' [at] host [dot] com' if i % 4 == 1 else '@host.com'} about it"
+    yield f"see part {d(3)}-{d(3)}-{d(4)} in stock {d(3)} boxes"
+
+
+@pytest.mark.parametrize("documents", [12, 400])
+def test_fit_adds_obscured_spans(spark, documents):
+    """Also on a table with fewer base spans than a threshold of its own needs; numbers in other contexts stay."""
+    rng = random.Random(7)
+    rows = [(i, ". ".join(_sentences(rng, i))) for i in range(documents)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = ["please call 555-234-4567 before noon", "write to jane [at] site [dot] org about it", "see part 555-234-4567 in stock"]
+    base, every = pii.spans(model, [*texts, "please call 055-134-4567 before noon"])
+    assert base == [[], [], [], []]
+    assert every == [[(12, 3, 24)], [(9, 0, 33)], [], []]
+    assert all(0 < t <= pii.LIKELY for t in model.thresholds)
+    cards = ["charge card 4222.2222.2222.2 now", "charge card 4222222222222 now", "charge card 4111111111111112 now"]
+    assert [len(x) for x in pii.spans(model, cards)[1]] == [1, 1, 0]
+
+
 # --- helpers and registration -------------------------------------------------------------
 
 
