@@ -456,6 +456,14 @@ def test_fit_adds_obscured_spans(spark, documents):
     assert [len(x) for x in pii.spans(model, cards)[1]] == [1, 1, 0]
 
 
+def test_examples_of_all_documents_are_sampled(spark):
+    """Documents with many numbers: those with large ids teach as well."""
+    rows = [(i, " ".join(f"call +1 555-234-{k:04} or" for k in range(200))) for i in range(40)]
+    got = pii.sampled(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect()
+    assert len(got) == 40 * pii.EXAMPLES
+    assert {r["doc_id"] for r in got} == set(range(40)) and max(r["start"] for r in got) > 2000
+
+
 # --- helpers and registration -------------------------------------------------------------
 
 
