@@ -2,8 +2,9 @@
 
 A gear hash rolls over the bytes of a text: it is shifted by one bit for each byte and a byte's random number is
 added, so its top bits depend on the last 16 bytes at most. A chunk ends where its top bits are all zero. Where chunks end
-therefore depends only on what is near, and an insertion changes no chunk but the ones it touches. Chunks with the
-same digest are the same; runs of neighbouring chunks that also stand elsewhere are repeated passages.
+therefore depends only on what is near, and an insertion changes no chunk but the ones it touches. Windows are the
+shortest runs of neighbouring chunks with enough words; windows with the same digest are the same, and what is covered
+by windows that also stand elsewhere is a repeated passage. One of them stays, the others can be dropped.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablegate.llm.frames import few_rows
@@ -24,7 +25,7 @@ BITS = 4
 WINDOW = 16
 #: An end this close to the one before is none.
 LEAST = 8
-#: Spaces in a run of shared chunks that make it a passage; a run lies inside the passage, so this is less than its words.
+#: Words that start inside a run of chunks and make it a passage; a run lies inside the passage, so this is less than its words.
 PASSAGE_WORDS = 20
 _BLOCK = 1 << 21
 
@@ -79,75 +80,90 @@ def _merged(cuts: np.ndarray, size: int) -> np.ndarray:
     return np.append(cuts[far], size) if size else cuts[:0]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
-        ids = batch.column("doc_id").to_pylist()
-        texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        docs, sizes, digests, words = [], [], [], []
-        begins, stops = [], ends(texts)
-        for doc, text, stop in zip(ids, texts, stops, strict=True):
-            begin = 0
-            for end in stop.tolist():
-                part = text[begin:end]
-                begins.append(begin)
-                digests.append(hashlib.blake2b(part, digest_size=8).digest())
-                words.append(part.count(b" ") + part.count(b"\n"))
-                begin = end
-            docs.append(doc)
-            sizes.append(len(stop))
-        whole = pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.frombuffer(b"".join(digests), np.int64)),
-                pa.array(docs, pa.int64()).take(pa.array(np.repeat(np.arange(len(docs)), sizes))),
-                pa.array(begins, pa.int32()),
-                pa.array(np.concatenate(stops).astype(np.int32) if stops else [], pa.int32()),
-                pa.array(words, pa.int32()),
-            ],
-            ["digest", "doc_id", "begin", "stop", "words"],
-        )
-        for k in range(0, whole.num_rows, 1 << 16):
-            yield whole.slice(k, 1 << 16)
-
-
-_CHUNK = "digest long, doc_id long, begin int, stop int, words int"
-
-
-def chunks(docs: DataFrame) -> DataFrame:
-    """Each chunk of each text: (digest, doc_id, begin, stop, words), places in bytes of UTF-8."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    return rows.mapInArrow(_chunks, _CHUNK)
+def windows(text: bytes, stops: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Begin, stop, words before and words of each run of chunks with ``least`` words that has no shorter one.
+
+    For each chunk the shortest run that begins with it and the shortest that ends with it. A word is counted where it
+    starts after a run's first byte, so equal bytes have equal windows whatever stands before them.
+    """
+    blank = np.isin(np.frombuffer(text, np.uint8), (10, 32))
+    starts = np.zeros(len(text) + 1, np.int32)
+    np.cumsum(~blank & np.concatenate(([True], blank[:-1])), out=starts[1:])
+    begins = np.concatenate(([0], stops[:-1])).astype(int)
+    before, upto = starts[begins + 1], starts[stops]
+    n = len(stops)
+    ahead = np.searchsorted(upto, before + least)
+    back = np.searchsorted(before, upto - least, "right") - 1
+    pairs = np.concatenate([np.arange(n)[ahead < n] * n + ahead[ahead < n], back[back >= 0] * n + np.arange(n)[back >= 0]])
+    first, last = np.divmod(np.unique(pairs), n)
+    return begins[first], stops[last], before[first], upto[last] - before[first]
+
+
+def _windows(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            ids = batch.column("doc_id").to_pylist()
+            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            docs, digests, places = [], [], []
+            for doc, text, stops in zip(ids, texts, ends(texts), strict=True):
+                if not text:
+                    continue
+                found = windows(text, stops, least)
+                spans = zip(found[0].tolist(), found[1].tolist(), strict=True)
+                digests += [hashlib.blake2b(text[b:e], digest_size=8).digest() for b, e in spans]
+                places.append(np.stack(found).astype(np.int32))
+                docs.append(np.full(len(found[0]), doc, np.int64))
+            if not docs:
+                continue
+            columns = [pa.array(c) for c in np.concatenate(places, 1)]
+            columns = [pa.array(np.frombuffer(b"".join(digests), np.int64)), pa.array(np.concatenate(docs)), *columns]
+            whole = pa.RecordBatch.from_arrays(columns, ["digest", "doc_id", "begin", "stop", "before", "words"])
+            for k in range(0, whole.num_rows, 1 << 16):
+                yield whole.slice(k, 1 << 16)
+
+    return run
+
+
+_WINDOW = "digest long, doc_id long, begin int, stop int, before int, words int"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of chunks sorted by (digest, doc_id), those in two documents or more, with the first of these."""
+    """Of windows sorted by (digest, doc_id, begin), those at two places or more, with the first document of these.
+
+    ``extra`` tells whether a window stands elsewhere before: in a smaller doc_id, or earlier in its own document.
+    """
     held: pa.RecordBatch | None = None
-    open_run: tuple[int, int] | None = None  # a digest that was found shared, and its first document
+    open_run: tuple[int, int, int] | None = None  # a digest that was found shared, and its first place
 
     def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        digest, doc = np.asarray(rows.column("digest")), np.asarray(rows.column("doc_id"))
+        digest, doc, begin = (np.asarray(rows.column(c)) for c in ("digest", "doc_id", "begin"))
         new = np.ones(len(digest), bool)
         new[1:] = digest[1:] != digest[:-1]
         at = np.flatnonzero(new)
         size = np.diff(np.append(at, len(digest)))
-        first, last = np.repeat(doc[at], size), np.repeat(doc[at + size - 1], size)
-        keep = first != last
+        first, place = np.repeat(doc[at], size), np.repeat(begin[at], size)
+        last = np.repeat(at + size - 1, size)
+        keep = (first != doc[last]) | (place != begin[last])
         if open_run is not None:
-            first = np.where(digest == open_run[0], open_run[1], first)
-            keep |= digest == open_run[0]
-        found = rows.append_column("first_doc_id", pa.array(first)).filter(pa.array(keep))
-        yield from found.combine_chunks().to_batches()
+            mine = digest == open_run[0]
+            first, place = np.where(mine, open_run[1], first), np.where(mine, open_run[2], place)
+            keep |= mine
+        extra = (doc != first) | (begin != place)
+        found = rows.append_column("first_doc_id", pa.array(first)).append_column("extra", pa.array(extra))
+        yield from found.filter(pa.array(keep)).combine_chunks().to_batches()
 
     for batch in batches:
         rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
         if not rows.num_rows:
             continue
         digest, doc = np.asarray(rows.column("digest")), np.asarray(rows.column("doc_id"))
+        place = np.asarray(rows.column("begin"))
         begin = len(digest) - int(np.searchsorted(digest[::-1] != digest[-1], True)) if (digest != digest[-1]).any() else 0
         shared = open_run is not None and open_run[0] == digest[-1]
-        if shared or doc[begin] != doc[-1]:
+        if shared or (doc[begin], place[begin]) != (doc[-1], place[-1]):
             yield from out(rows)
             if not shared:
-                open_run = (int(digest[-1]), int(doc[begin]))
+                open_run = (int(digest[-1]), int(doc[begin]), int(place[begin]))
             held = None
         else:
             yield from out(rows.slice(0, begin))
@@ -156,24 +172,52 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out(pa.Table.from_batches([held]))
 
 
-def repeated_passages(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
-    """Passages of (doc_id, text) that stand in other documents too: (doc_id, begin, stop, n_words, first_doc_id).
+def shared_windows(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
+    """Windows of (doc_id, text) that stand at another place too, each with ``extra``: the decision to drop it.
 
-    A row for each run of neighbouring shared chunks with ``least_words`` spaces or more: its place in bytes of
-    UTF-8, the number of spaces in it, and the smallest doc_id that holds one of its chunks. The run lies inside the
-    passage and misses at most what lies before its first and after its last chunk end. A document without such a
-    run has no row, nor has one with a null doc_id or text. Copies of a passage within one document alone are not
-    reported; repeated rows of one doc_id are one document. Other columns are not read. Ties do not arise.
+    Of equal windows the first by doc_id and place stays. Whatever is dropped still stands at an earlier place.
     """
-    rows = chunks(docs).repartition("digest").sortWithinPartitions("digest", "doc_id")
-    shared = rows.mapInArrow(_shared, f"{_CHUNK}, first_doc_id long").drop("digest").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    rows = rows.mapInArrow(_windows(least_words), _WINDOW)
+    rows = rows.repartition("digest").sortWithinPartitions("digest", "doc_id", "begin")
+    return rows.mapInArrow(_shared, f"{_WINDOW}, first_doc_id long, extra boolean").drop("digest").distinct()
+
+
+def _opens(which: str) -> Column:
+    """1 for a window that touches none before it in its document, among those where ``which`` holds, else 0."""
+    line = Window.partitionBy("doc_id").orderBy("begin", "stop")
+    last = F.max(F.when(F.expr(which), F.col("stop"))).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    return F.when(F.expr(which), F.coalesce((last < F.col("begin")).cast("int"), F.lit(1)))
+
+
+def _runs(docs: DataFrame, least_words: int) -> DataFrame:
+    """Runs of shared windows, in parts: one for each stretch that is dropped, and one for what is not."""
+    rows = shared_windows(docs, least_words)
     line = Window.partitionBy("doc_id").orderBy("begin", "stop")
-    gap = F.coalesce((F.lag("stop").over(line) < F.col("begin")).cast("int"), F.lit(1))
-    runs = shared.withColumn("run", F.sum(gap).over(line)).groupBy("doc_id", "run")
-    found = runs.agg(
+    rows = rows.withColumn("gap", _opens("true")).withColumn("cut", _opens("extra"))
+    rows = rows.withColumn("run", F.sum("gap").over(line)).withColumn("part", F.when(F.col("extra"), F.sum("cut").over(line)))
+    return rows.groupBy("doc_id", "run", "part").agg(
+        F.min("begin").alias("begin"),
+        F.max("stop").alias("stop"),
+        F.min("before").alias("before"),
+        F.max(F.col("before") + F.col("words")).alias("upto"),
+        F.min("first_doc_id").alias("first_doc_id"),
+    )
+
+
+def repeated_passages(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
+    """Passages of (doc_id, text) that stand elsewhere too: (doc_id, begin, stop, n_words, first_doc_id).
+
+    Every byte of a passage lies in a window of chunks with ``least_words`` words or more that also stands in another
+    document or at another place of this one. A row for each run of such windows: its place in bytes of UTF-8, its
+    words, and the smallest doc_id that holds one of its windows. The run lies inside the passage and misses at most what lies
+    before its first and after its last chunk end. A document without such a run has no row, nor has one with a null
+    doc_id or text. Repeated rows of one doc_id are one document. Other columns are not read. Ties do not arise.
+    """
+    found = _runs(docs, least_words).groupBy("doc_id", "run").agg(
         F.min("begin").alias("begin"),
         F.max("stop").alias("stop"),
-        F.sum("words").alias("n_words"),
+        (F.max("upto") - F.min("before")).alias("n_words"),
         F.min("first_doc_id").alias("first_doc_id"),
     )
-    return found.where(F.col("n_words") >= least_words).select("doc_id", "begin", "stop", "n_words", "first_doc_id")
+    return found.select("doc_id", "begin", "stop", "n_words", "first_doc_id")

@@ -196,6 +196,30 @@ def test_repeated_passages(spark, odd):
     assert chunks.repeated_passages(odd.dropDuplicates(["text"])).collect() == []
 
 
+def _random_words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def test_stitched_chunks_are_no_passage(spark):
+    """A document of pieces that each stand in another document holds no passage of any of them."""
+    rng = random.Random(12)
+    others = [_random_words(rng, 300).encode() for _ in range(12)]
+    # Pieces of a few whole chunks, a new one of each document in turn.
+    stops = [s.tolist() for s in chunks.ends(others)]
+    text = b"".join(others[k % 12][stops[k % 12][k] : stops[k % 12][k + 2]] for k in range(48))
+    rows = [(k, t.decode()) for k, t in enumerate([*others, text])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert chunks.repeated_passages(df).collect() == []
+    # Every reported byte lies in enough words that another place holds.
+    rows += [(20, others[3].decode()[200:900]), (21, others[3].decode()[500:1200])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = chunks.repeated_passages(df).collect()
+    assert {r["doc_id"]: r["first_doc_id"] for r in got} == {3: 3, 20: 3, 21: 3}
+    for r in got:
+        raw = dict(rows)[r["doc_id"]].encode()[r["begin"] : r["stop"]]
+        assert raw in others[3] and r["n_words"] >= 20 and len(raw) > (1150 - 200 if r["doc_id"] == 3 else 600)
+
+
 def test_shared_chunks_are_streamed():
     digest = np.repeat([1, 2, 3, 4], [3, 700, 1, 50])
     doc = np.concatenate([[5, 5, 5], np.arange(700) // 2, [9], np.full(50, 8)])
