@@ -206,18 +206,64 @@ def _runs(docs: DataFrame, least_words: int) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
-    """Passages of (doc_id, text) that stand elsewhere too: (doc_id, begin, stop, n_words, first_doc_id).
+    """Passages of (doc_id, text) that stand elsewhere too: (doc_id, begin, stop, n_words, first_doc_id, drops).
 
     Every byte of a passage lies in a window of chunks with ``least_words`` words or more that also stands in another
     document or at another place of this one. A row for each run of such windows: its place in bytes of UTF-8, its
-    words, and the smallest doc_id that holds one of its windows. The run lies inside the passage and misses at most what lies
+    words, the smallest doc_id that holds one of its windows, and ``drops``, the spans of it that stand at an earlier
+    place (see ``spans_to_drop``) as begin:stop with commas. The run lies inside the passage and misses at most what lies
     before its first and after its last chunk end. A document without such a run has no row, nor has one with a null
     doc_id or text. Repeated rows of one doc_id are one document. Other columns are not read. Ties do not arise.
     """
+    drop = F.when(F.col("part").isNotNull(), F.struct("begin", "stop"))
     found = _runs(docs, least_words).groupBy("doc_id", "run").agg(
         F.min("begin").alias("begin"),
         F.max("stop").alias("stop"),
         (F.max("upto") - F.min("before")).alias("n_words"),
         F.min("first_doc_id").alias("first_doc_id"),
+        F.array_sort(F.collect_list(drop)).alias("spans"),
     )
-    return found.select("doc_id", "begin", "stop", "n_words", "first_doc_id")
+    written = F.transform("spans", lambda x: F.concat_ws(":", x["begin"].cast("string"), x["stop"].cast("string")))
+    return found.withColumn("drops", F.array_join(written, ",")).select(
+        "doc_id", "begin", "stop", "n_words", "first_doc_id", "drops"
+    )
+
+
+def spans_to_drop(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
+    """Spans (doc_id, begin, stop) in bytes that also stand at an earlier place, in a smaller doc_id or before them."""
+    return _runs(docs, least_words).where("part is not null").select("doc_id", "begin", "stop")
+
+
+def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without sorted spans, which are narrowed to whole characters."""
+    out, at = [], 0
+    for begin, stop in spans:
+        while begin < stop and text[begin] & 0xC0 == 0x80:
+            begin += 1
+        while begin < stop < len(text) and text[stop] & 0xC0 == 0x80:
+            stop -= 1
+        out.append(text[at:begin])
+        at = max(at, stop)
+    return b"".join([*out, text[at:]])
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in few_rows(batches):
+        spans = [[(s["begin"], s["stop"]) for s in x or []] for x in batch.column("_drops").to_pylist()]
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        new = [t if t is None else without(t, x).decode() for t, x in zip(texts, spans, strict=True)]
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pa.array(new, pa.string())).drop_columns(["_drops"])
+
+
+def without_repeats(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` without the spans to drop. A null text or doc_id passes through, as do other columns and the rows of a
+    doc_id that has several texts, whose places cannot be told apart.
+    """
+    drops = spans_to_drop(docs, least_words).groupBy(F.col("doc_id").alias("_doc"))
+    drops = drops.agg(F.array_sort(F.collect_list(F.struct("begin", "stop"))).alias("_drops"))
+    text = F.xxhash64("text")
+    several = docs.groupBy(F.col("doc_id").cast("long").alias("_doc")).agg((F.min(text) < F.max(text)).alias("several"))
+    drops = drops.join(several.where("several"), "_doc", "left_anti")
+    rows = docs.join(drops, F.col("doc_id").cast("long") == F.col("_doc"), "left").select(*docs.columns, "_drops")
+    return rows.mapInArrow(_cut, docs.schema)

@@ -220,6 +220,26 @@ def test_stitched_chunks_are_no_passage(spark):
         assert raw in others[3] and r["n_words"] >= 20 and len(raw) > (1150 - 200 if r["doc_id"] == 3 else 600)
 
 
+def test_repeats_are_dropped_but_for_the_first(spark):
+    rng = random.Random(13)
+    one, two, own = (_random_words(rng, 60) for _ in range(3))
+    fill = [_random_words(rng, 40) + " é日 " for _ in range(9)]
+    rows = [(1, fill[0] + one + fill[1]), (2, fill[2] + one + fill[3] + two), (3, fill[4] + own + fill[5] + own + fill[6])]
+    rows += [(4, two), (5, None), (None, one), (6, fill[7]), (6, fill[8] + one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS begin", "2 AS spans")
+    out = chunks.without_repeats(df)
+    assert out.columns == df.columns
+    new = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    old = dict(rows[:4])
+    got = dict(x for x in new if x[0] in old)
+    assert got[1] == old[1] and len(got[4]) < 60 and got[2].endswith(two) and fill[2][:200] in got[2] and fill[3][40:] in got[2]
+    assert len(got[2]) < len(old[2]) - len(one) + 90 and got[3].count(own) == 1 and len(got[3]) < len(old[3]) - len(own) + 90
+    assert [x for x in new if x[0] in (5, None, 6)] == sorted([x for x in rows if x[0] in (5, None, 6)], key=str)
+    drops = {(r["doc_id"], r["begin"], r["stop"]) for r in chunks.spans_to_drop(df).collect()}
+    said = {(r["doc_id"], *map(int, x.split(":"))) for r in chunks.repeated_passages(df).collect() for x in r["drops"].split(",") if x}
+    assert drops == said and {d for d, _, _ in drops} == {2, 3, 4, 6}
+
+
 def test_shared_chunks_are_streamed():
     digest = np.repeat([1, 2, 3, 4], [3, 700, 1, 50])
     doc = np.concatenate([[5, 5, 5], np.arange(700) // 2, [9], np.full(50, 8)])
