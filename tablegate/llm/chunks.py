@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablegate.llm.frames import few_rows
+from tablegate.llm.words import _tables
 
 #: A chunk may end at one byte in 2**BITS; the hash covers WINDOW bytes.
 BITS = 4
@@ -86,7 +87,7 @@ def windows(text: bytes, stops: np.ndarray, least: int) -> tuple[np.ndarray, ...
     For each chunk the shortest run that begins with it and the shortest that ends with it. A word is counted where it
     starts after a run's first byte, so equal bytes have equal windows whatever stands before them.
     """
-    blank = np.isin(np.frombuffer(text, np.uint8), (10, 32))
+    blank = _tables()[1][np.frombuffer(text, np.uint8)]
     starts = np.zeros(len(text) + 1, np.int32)
     np.cumsum(~blank & np.concatenate(([True], blank[:-1])), out=starts[1:])
     begins = np.concatenate(([0], stops[:-1])).astype(int)

@@ -240,6 +240,18 @@ def test_repeats_are_dropped_but_for_the_first(spark):
     assert drops == said and {d for d, _, _ in drops} == {2, 3, 4, 6}
 
 
+def test_words_are_parted_by_any_white_space(spark):
+    rng = random.Random(14)
+    words = _random_words(rng, 60).split()
+    few = _random_words(rng, 12).split()
+    for gap in ("\t", "\f", "\r", " \n", "\v"):
+        rows = [(i, f"{_random_words(rng, 9)}{gap}{gap.join(words)}{gap}{_random_words(rng, 9)}") for i in (1, 2)]
+        got = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(got) == 2 and all(40 < r["n_words"] <= 60 for r in got)
+    rows = [(i, "   ".join(few)) for i in (1, 2)]
+    assert chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect() == []
+
+
 def test_shared_chunks_are_streamed():
     digest = np.repeat([1, 2, 3, 4], [3, 700, 1, 50])
     doc = np.concatenate([[5, 5, 5], np.arange(700) // 2, [9], np.full(50, 8)])
