@@ -6,7 +6,9 @@ import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,18 @@ def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa
             yield batch.slice(k, rows)
 
 
+def few_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that ``column`` holds at most ``size`` bytes, or a single row."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 def split_by(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """One table for each value of ``keys`` in a stream that is sorted by them. Only one group is in memory."""
     held: list[pa.RecordBatch] = []

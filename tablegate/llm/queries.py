@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pii, toxicity, warc
+from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pieces, pii, toxicity, warc
 from tablegate.llm.frames import find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,9 @@ def op9_language(spark, sf_dir):
 def op10_pii(spark, sf_dir):
     """Personal data in every document."""
     return pii.detected(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_sentencepiece(spark, sf_dir):
+    """Every document encoded by merges of pieces and decoded, each batch checked against the library."""
+    return pieces.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), check=True)
