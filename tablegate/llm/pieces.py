@@ -2,9 +2,10 @@
 
 Symbols start as the characters of the text. An agenda holds the adjacent pairs whose joined text is a piece, the
 highest score first and of equal scores the leftmost; the head is merged and its new neighbours join the agenda,
-until it is empty. Entries whose symbols have changed since are passed over. What is no piece in the end is written
-as byte pieces. Where no piece of the vocabulary spans two characters, the text falls apart into parts with agendas of
-their own; parts between spaces recur, so a worker remembers their ids. The decoder copies byte ranges that an offset
+until it is empty. What is no piece in the end is written as byte pieces. Where no piece of the vocabulary spans two
+characters, the text falls apart into parts with agendas of their own. Long parts use a heap, whose entries are passed
+over if their symbols have changed since. The short parts of an Arrow batch are merged together: each round takes the
+head of every agenda. Words recur, so a worker remembers their ids. The decoder copies byte ranges that an offset
 table names. Ids can be checked against the sentencepiece library, Arrow batch by Arrow batch.
 """
 
@@ -32,8 +33,11 @@ SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _MERGES = 2
 _UNKNOWN_TEXT = " ⁇ "
-#: Parts whose ids are kept in a worker, and characters of the longest one.
-_CACHE, _CACHE_PART = 1 << 18, 64
+_NO_RANK = 1 << 40
+#: Words whose ids are kept in a worker, and characters of the longest one.
+_CACHE, _CACHE_WORD = 1 << 19, 64
+#: Characters up to which parts are merged together.
+_SHORT = 64
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -108,7 +112,17 @@ class Pieces:
         #: Pieces that start with a space which is not the one before the text.
         self._unstripped = {self.byte_ids[32], *(i for i, kind in enumerate(kinds) if kind == _UNKNOWN)}
         self._parts = self._boundaries()
-        self._known: dict[str, bytes] = {}
+        # Pairs of pieces whose joined text is a piece, in order of their codes, and that piece.
+        pairs = {(self.ids[t[:k]] << 32) | self.ids[t[k:]]: i for t, i in self.ids.items() for k in range(1, len(t)) if t[:k] in self.ids and t[k:] in self.ids}
+        self._pairs = np.array(sorted(pairs), np.int64)
+        self._joined = np.array([pairs[p] for p in self._pairs.tolist()], np.int64)
+        self._ranks = np.full(len(texts) + 1, _NO_RANK, np.int64)
+        self._ranks[[*self.ids.values()]] = [self.rank[t] for t in self.ids]
+        self._letters = np.array(sorted(ord(t) for t in self.ids if len(t) == 1), np.int64)
+        self._letter_ids = np.array([self.ids[chr(c)] for c in self._letters.tolist()], np.int64)
+        #: Ids of words with the space before them, and of parts that are no words.
+        self._words: dict[str, bytes] = {}
+        self._others: dict[str, bytes] = {}
 
     def _boundaries(self) -> re.Pattern:
         """Parts that no piece reaches across: spaces with what follows, if pieces have spaces only in front."""
@@ -121,69 +135,147 @@ class Pieces:
         inside = f"[{re.escape(inner)}]" if inner else "(?!)"
         return re.compile(f"(?s){SPACE}*{inside}+|{SPACE}+|.")
 
+    def _spelled(self, letter: str) -> list[int]:
+        """Ids of a character that is no piece."""
+        return [self.byte_ids[b] for b in letter.encode()]
+
     def merge(self, text: str) -> list[int]:
-        """Ids of one part, merged by the agenda."""
+        """Ids of one part, merged by an agenda in a heap."""
         ids, rank, size = self.ids, self.rank, len(text)
-        if size > 1:
-            ends, after = list(range(1, size + 1)), list(range(1, size + 1))
-            before, alive = list(range(-1, size - 1)), bytearray(b"\x01") * size
-            agenda = [(r << 40) | i for i in range(size - 1) if (r := rank.get(text[i : i + 2])) is not None]
-            heapify(agenda)
-            while agenda:
-                head = heappop(agenda)
-                left = head & 0xFFFFFFFFFF
-                right = after[left]
-                if not alive[left] or right == size or rank.get(text[left : ends[right]]) != head >> 40:
-                    continue
-                ends[left], after[left], alive[right] = ends[right], after[right], 0
-                if (follows := after[left]) < size:
-                    before[follows] = left
-                    if (r := rank.get(text[left : ends[follows]])) is not None:
-                        heappush(agenda, (r << 40) | left)
-                if (leads := before[left]) >= 0 and (r := rank.get(text[leads : ends[left]])) is not None:
-                    heappush(agenda, (r << 40) | leads)
-            symbols, at = [], 0
-            while at < size:
-                symbols.append(text[at : ends[at]])
-                at = after[at]
-        else:
-            symbols = [text]
+        ends, after = list(range(1, size + 1)), list(range(1, size + 1))
+        before, alive = list(range(-1, size - 1)), bytearray(b"\x01") * size
+        agenda = [(r << 40) | i for i in range(size - 1) if (r := rank.get(text[i : i + 2])) is not None]
+        heapify(agenda)
+        while agenda:
+            head = heappop(agenda)
+            left = head & 0xFFFFFFFFFF
+            right = after[left]
+            if not alive[left] or right == size or rank.get(text[left : ends[right]]) != head >> 40:
+                continue
+            ends[left], after[left], alive[right] = ends[right], after[right], 0
+            if (follows := after[left]) < size:
+                before[follows] = left
+                if (r := rank.get(text[left : ends[follows]])) is not None:
+                    heappush(agenda, (r << 40) | left)
+            if (leads := before[left]) >= 0 and (r := rank.get(text[leads : ends[left]])) is not None:
+                heappush(agenda, (r << 40) | leads)
         out: list[int] = []
-        for symbol in symbols:
-            i = ids.get(symbol)
-            if i is None:
-                out += [self.byte_ids[b] for b in symbol.encode()]
-            else:
-                out.append(i)
+        at = 0
+        while at < size:
+            i = ids.get(text[at : ends[at]])
+            out += self._spelled(text[at]) if i is None else [i]
+            at = after[at]
         return out
 
-    def _part(self, part: str) -> bytes:
-        got = self._known.get(part)
-        if got is None:
-            got = array("I", [i for x in self._parts.findall(part) for i in self.merge(x)]).tobytes()
-            if len(part) <= _CACHE_PART:
-                if len(self._known) >= _CACHE:
-                    self._known.clear()
-                self._known[part] = got
-        return got
-
-    def encode_as_is(self, text: str) -> bytes:
-        """Ids of a text, without the space before it, as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if not self.split_at_spaces or "  " in text or SPACE in text:
-            return b"".join(map(self._part, self._parts.findall(text.replace(" ", SPACE))))
-        first, *rest = text.split(" ")
-        known, part = self._known, self._part
-        out = [part(first)] if first else []
-        for word in rest:
-            got = known.get(SPACE + word)
-            out.append(part(SPACE + word) if got is None else got)
-        return b"".join(out)
+    def _join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that each pair of symbols makes, -1 for none. Symbols that are no piece are below zero."""
+        codes = (left << 32) | right
+        at = np.minimum(np.searchsorted(self._pairs, codes), len(self._pairs) - 1)
+        return np.where((self._pairs[at] == codes) & (left >= 0) & (right >= 0), self._joined[at], -1)
+
+    def merge_together(self, parts: list[str]) -> list[bytes]:
+        """Ids of many parts that are not empty. Each round merges the head of every agenda that is not empty."""
+        letters = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.int64)
+        at = np.minimum(np.searchsorted(self._letters, letters), len(self._letters) - 1)
+        symbols = np.where(self._letters[at] == letters, self._letter_ids[at], -1 - letters)
+        sizes = np.array([*map(len, parts)], np.int64)
+        part = np.repeat(np.arange(len(parts)), sizes)
+        joined = np.full(len(symbols), -1, np.int64)
+        inner = np.flatnonzero(part[:-1] == part[1:])
+        joined[inner] = self._join(symbols[inner], symbols[inner + 1])
+        done_symbols, done_parts = [], []
+        while len(symbols):
+            first = np.flatnonzero(np.diff(part, prepend=-1))
+            rank = self._ranks[joined]
+            best = np.minimum.reduceat(rank, first)
+            count = np.diff(first, append=len(symbols))
+            over = np.repeat(best == _NO_RANK, count)
+            if over.any():
+                done_symbols.append(symbols[over])
+                done_parts.append(part[over])
+                going = ~over
+                symbols, part, joined, rank = symbols[going], part[going], joined[going], rank[going]
+                live = best < _NO_RANK
+                best, count = best[live], count[live]
+            heads = np.flatnonzero(rank == np.repeat(best, count))
+            heads = heads[np.diff(part[heads], prepend=-1) != 0]
+            symbols[heads] = joined[heads]
+            kept = np.ones(len(symbols), bool)
+            kept[heads + 1] = False
+            symbols, part, joined = symbols[kept], part[kept], joined[kept]
+            heads -= np.arange(len(heads))
+            changed = np.concatenate([heads, heads[heads > 0] - 1])
+            joined[heads] = -1
+            changed = changed[changed + 1 < len(symbols)]
+            changed = changed[part[changed] == part[changed + 1]]
+            joined[changed] = self._join(symbols[changed], symbols[changed + 1])
+        symbols, part = np.concatenate(done_symbols), np.concatenate(done_parts)
+        order = np.argsort(part, kind="stable")
+        symbols, part = symbols[order], part[order]
+        unknown = np.flatnonzero(symbols < 0)
+        if len(unknown):
+            spelled = [self._spelled(chr(-1 - s)) for s in symbols[unknown].tolist()]
+            times = np.ones(len(symbols), np.int64)
+            times[unknown] = [*map(len, spelled)]
+            symbols, part = np.repeat(symbols, times), np.repeat(part, times)
+            symbols[symbols < 0] = [i for x in spelled for i in x]
+        flat = symbols.astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(part, minlength=len(parts)))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _merge_all(self, groups: list[list[str]]) -> list[bytes]:
+        """Ids of each group of parts."""
+        short = [p for g in groups for p in g if len(p) <= _SHORT]
+        merged = iter(self.merge_together(short) if short else [])
+        one = lambda p: next(merged) if len(p) <= _SHORT else array("I", self.merge(p)).tobytes()
+        return [one(g[0]) if len(g) == 1 else b"".join(map(one, g)) for g in groups]
+
+    def falls_apart(self, text: str) -> bool:
+        """Whether the parts of a text are its words, each with the space before it."""
+        return self.split_at_spaces and "  " not in text and SPACE not in text
+
+    def encode_all(self, texts: list[str], as_is: bool = False) -> tuple[list[bytes], dict[str, bytes]]:
+        """Ids of each text as little-endian unsigned 32-bit integers, and those of the words that were new.
+
+        An empty text has no ids. ``as_is`` leaves out the space before a text.
+        """
+        spaced = texts if as_is or not self.prefix else [" " + t if t else t for t in texts]
+        apart = [t.split(" ") if self.falls_apart(t) else None for t in spaced]
+        known, every = self._words, set().union(*(a[1:] for a in apart if a))
+        new = [w for w in every if w not in known]
+        if len(known) + len(new) > _CACHE:
+            known.clear()
+            new = [*every]
+        find = self._parts.findall
+        ids = self._merge_all([find(SPACE + w) for w in new])
+        fresh = dict(zip(new, ids, strict=True))
+        known.update(fresh)
+        # First words without a space before them, and texts with other spaces.
+        loose = [find(t.replace(" ", SPACE)) if a is None else find(a[0]) for t, a in zip(spaced, apart, strict=True)]
+        others, every = self._others, {p for parts in loose for p in parts}
+        missing = [p for p in every if p not in others]
+        if len(others) + len(missing) > _CACHE:
+            others.clear()
+            missing = [*every]
+        others.update(zip(missing, self._merge_all([[p] for p in missing]), strict=True))
+        out = []
+        for parts, a in zip(loose, apart, strict=True):
+            head = [others[p] for p in parts]
+            out.append(b"".join(head + [known[w] for w in a[1:]] if a else head))
+        for cache, added in ((known, new), (others, missing)):
+            for x in added:
+                if len(x) > _CACHE_WORD:
+                    cache.pop(x)
+        return out, fresh
+
+    def forget(self) -> None:
+        """Forget the ids of all words."""
+        self._words.clear()
+        self._others.clear()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; an empty text has none."""
-        return self.encode_as_is(" " + text if self.prefix and text else text)
+        return self.encode_all([text])[0][0]
 
     def raw(self, ids: np.ndarray) -> bytes:
         """The bytes that the ids stand for, gathered from the offset table in one step."""
@@ -219,30 +311,46 @@ def _digests(path: str, check: bool):
         agree = _agreement(model, path) if check else None
         for batch in few_bytes(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            counts, ids_sha, text_sha, every = [], [], [], []
-            for text in texts:
-                ids = np.frombuffer(model.encode(text), "<u4")
+            every, fresh = model.encode_all(texts)
+            counts, ids_sha, text_sha = [], [], []
+            for raw in every:
+                ids = np.frombuffer(raw, "<u4")
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join([names[i] for i in ids.tolist()]).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(model.decode(ids).encode()).hexdigest())
-                if check:
-                    every.append(ids)
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             if check:
-                columns.append(pa.array(agree(texts, every), pa.bool_()))
+                columns.append(pa.array(agree(texts, every, fresh), pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"][: len(columns)])
 
     return run
 
 
 def _agreement(model: Pieces, path: str):
-    """A function that tells which texts of a batch the sentencepiece library gives the same ids."""
+    """A function that tells which texts of a batch the sentencepiece library gives the same ids.
+
+    Words that recur are merged once in a worker, so it is enough to compare what the agenda gave for this batch. The
+    library puts a space before a text as words have one; texts that do not fall into such words are compared whole,
+    and so is a batch with any difference, whose words are not remembered.
+    """
     from sentencepiece import SentencePieceProcessor
 
     library = SentencePieceProcessor(model_file=path)
 
-    def same(texts: list[str], ids: list[np.ndarray]) -> list[bool]:
-        return [a.tolist() == b for a, b in zip(ids, library.encode(texts, num_threads=1), strict=True)]
+    def wanted(texts: list[str]) -> list[bytes]:
+        return [array("I", x).tobytes() for x in library.encode(texts, num_threads=1)]
+
+    def same(texts: list[str], ids: list[bytes], fresh: dict[str, bytes]) -> list[bool]:
+        words = [w for w in fresh if w]
+        if wanted(words) == [fresh[w] for w in words]:
+            whole = [i for i, t in enumerate(texts) if not (model.prefix and model.falls_apart(" " + t))]
+        else:
+            model.forget()
+            whole = [*range(len(texts))]
+        out = [True] * len(texts)
+        for i, want in zip(whole, wanted([texts[i] for i in whole]), strict=True):
+            out[i] = ids[i] == want
+        return out
 
     return same
 
@@ -251,8 +359,8 @@ def token_digests(docs: DataFrame, path: str, check: bool = False) -> DataFrame:
     """Each whole text encoded and decoded: (doc_id, n_tokens, ids_sha256, decoded_sha256), a row for each row.
 
     A null text counts as empty; that has no tokens. Null and repeated doc_ids pass through. Other columns are not
-    read. Ids are hashed as decimal numbers joined by commas, the decoded text as UTF-8. ``check`` has the
-    sentencepiece library encode every batch too and adds ``agrees``, whether its ids are the same.
+    read. Ids are hashed as decimal numbers joined by commas, the decoded text as UTF-8. ``check`` compares every batch
+    with the sentencepiece library and adds ``agrees``, whether its ids are the same.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col("doc_id").cast("long"), "text")
@@ -263,7 +371,8 @@ def _tokens(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in few_bytes(batches, "text"):
-            ids = [np.frombuffer(model.encode(t or ""), "<u4") for t in batch.column("text").to_pylist()]
+            every, _ = model.encode_all([t or "" for t in batch.column("text").to_pylist()])
+            ids = [np.frombuffer(x, "<u4") for x in every]
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)
             rest = pa.Table.from_batches([batch]).drop_columns("text")

@@ -88,3 +88,27 @@ def test_other_models_are_refused(tmp_path):
     bad.write_bytes(b"")
     with pytest.raises(ValueError, match="no vocabulary of merges"):
         pieces.Pieces(str(bad))
+
+
+def test_the_check_finds_wrong_words(library):
+    own = pieces.Pieces(MODEL)
+    agree = pieces._agreement(own, MODEL)
+    right = own.merge_together
+    own.merge_together = lambda parts: [b"none" if p == "▁word" else x for p, x in zip(parts, right(parts))]
+    texts = ["a word", "no more", "word again", "two  words", "two  spaces"]
+
+    def checked(some):
+        return agree(some, *own.encode_all(some))
+
+    # Neither a word that is known from before nor one within the batch hides a difference.
+    assert checked(texts) == [False, True, False, True, True]
+    assert checked(texts[2:]) == [False, True, True]
+    assert checked(["", "two word"]) == [True, False]
+
+
+def test_a_small_cache_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(pieces, "_CACHE", 20)
+    own, texts = pieces.Pieces(MODEL), texts_of(library, 200)
+    for at in range(0, len(texts), 7):
+        found, _ = own.encode_all(texts[at : at + 7])
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == library.encode(texts[at : at + 7])
