@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegate.llm import bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pieces, pii, toxicity, warc
+from tablegate.llm import alignment, bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pieces, pii, toxicity, warc
 from tablegate.llm.frames import find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,10 @@ def op10_pii(spark, sf_dir):
 def op12_sentencepiece(spark, sf_dir):
     """Every document encoded by merges of pieces and decoded, each batch checked against the library."""
     return pieces.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), check=True)
+
+
+@query
+def op13_align_tokens(spark, sf_dir):
+    """The tokens of two vocabularies aligned by bytes in every document."""
+    paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.aligned(_table(spark, sf_dir, "documents"), *paths)
