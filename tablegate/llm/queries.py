@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablegate.llm import alignment, bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pieces, pii, toxicity, warc
+from tablegate.llm import alignment, bpe, chunks, embeddings, fingerprints, jaccard, language, mixing, pieces, pii, toxicity, warc, whitening
 from tablegate.llm.frames import find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op13_align_tokens(spark, sf_dir):
     """The tokens of two vocabularies aligned by bytes in every document."""
     paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.aligned(_table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """Every embedding in up to 32 uncorrelated components of variance one."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))

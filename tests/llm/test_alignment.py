@@ -81,7 +81,7 @@ def test_any_ranges_give_the_same(spark, width, fan, block):
 
 
 def test_documents(spark):
-    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 4000").collect()]
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 1500").collect()]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert found(alignment.aligned(docs, A, B, 1 << 10)) == sorted(brute(rows), key=str)
 
