@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tablegate.config import HistorySpec
 from tablegate.functions.columns import COUNT, col, cols, none_null, repeat_rows
+from tablegate.plans import ordered
 from tablegate.plans.lanes import (
     HotKeys,
     carried,
     following,
     lane_keys,
     largest_before,
-    largest_of_key,
     spread,
     sum_before,
     with_lane,
@@ -22,7 +22,6 @@ from tablegate.sources.shared import checkpointed, has_shared_folder
 from tablegate.sources.tables import current
 
 _RANK_BLOCK = 128
-_WHOLE_RUNS = 4096
 
 
 # --- predicates on single rows ------------------------------------------------------------
@@ -74,8 +73,8 @@ def orphan_keys(df: DataFrame, spec: HistorySpec) -> DataFrame:
 
 # --- order of versions --------------------------------------------------------------------
 #
-# All checks below start from the same windows over the same exchange of keys, start, end and
-# flag, so several of them in one plan shuffle the table once.
+# Counts and chains walk through one global order of keys, start, end and flag (plans/ordered.py), so several of them in
+# one plan shuffle the table once. Listing the pairs of overlaps brings partners together by windows per key.
 
 
 def _in_order(df: DataFrame, spec: HistorySpec, hot: HotKeys | None) -> DataFrame:
@@ -106,34 +105,12 @@ def _in_order(df: DataFrame, spec: HistorySpec, hot: HotKeys | None) -> DataFram
     ).drop("_later", "_before")
 
 
-def _is_broken(spec: HistorySpec, next_start: Column) -> Column:
-    return ~col(spec.is_current) & next_start.isNotNull() & (col(spec.end) != next_start)
-
-
-def broken_links(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
-    """``chain_continuity`` with equal rows merged into one row and their number."""
-    rows = _in_order(df, spec, hot)
-    if hot:
-        # Of n equal rows all but the last are followed by a row with their own start.
-        runs = F.array(
-            F.struct(F.col("next_start").alias("at"), F.lit(1).cast("bigint").alias("n")),
-            F.struct(col(spec.start).alias("at"), (F.col(COUNT) - 1).alias("n")),
-        )
-        rows = rows.withColumn("_run", F.explode(runs)).withColumns(
-            {"next_start": F.col("_run.at"), COUNT: F.col("_run.n")}
-        )
-        rows = rows.where(F.col(COUNT) > 0)
-    broken = rows.where(_is_broken(spec, F.col("next_start")))
-    return broken.select(*cols([*spec.keys, spec.start, spec.end, "next_start", COUNT]))
-
-
-def chain_continuity(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
+def chain_continuity(df: DataFrame, spec: HistorySpec) -> DataFrame:
     """Closed versions that do not end where the next version of the key starts.
 
     Versions with the same start are ordered by end, then flag. A NULL end is not reported.
     """
-    links = broken_links(df, spec, hot)
-    return repeat_rows(links) if hot else links.drop(COUNT)
+    return ordered.broken_chain(df, spec.keys, spec.start, spec.end, spec.is_current)
 
 
 PROFILE = (
@@ -146,32 +123,10 @@ PROFILE = (
 )
 
 
-def history_profile(df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None) -> DataFrame:
-    """One row with the number of violations of each check in ``PROFILE``.
-
-    The keys are grouped where the windows have already put them, so all six checks cost one
-    scan and one shuffle.
-    """
-    rows, n, none = _in_order(df, spec, hot), F.col(COUNT), F.lit(0).cast("bigint")
-
-    def times(condition: Column, count: Column = n) -> Column:
-        return F.sum(F.when(condition, count).otherwise(none))
-
-    broken = times(_is_broken(spec, F.col("next_start")), F.lit(1).cast("bigint"))
-    if hot:
-        broken = broken + times(_is_broken(spec, col(spec.start)), n - 1)
-    per_key = rows.groupBy(*cols(spec.keys)).agg(
-        times(col(spec.is_current)).alias("cnt"),
-        times(is_null_start(spec)).alias("null_start"),
-        times(is_open_closed(spec)).alias("null_end_on_closed"),
-        times(is_inverted(spec)).alias("start_after_end"),
-        broken.alias("chain_continuity"),
-    )
-    return per_key.agg(
-        F.count_if(F.col("cnt") > 1).alias("duplicate_current"),
-        F.count_if(F.col("cnt") == 0).alias("orphan_keys"),
-        *[F.coalesce(F.sum(c), none).alias(c) for c in PROFILE[2:]],
-    )
+def history_profile(df: DataFrame, spec: HistorySpec) -> DataFrame:
+    """One row with the number of violations of each check in ``PROFILE``, all from one walk through the versions in
+    order, which costs one scan and one shuffle whatever the number of versions of a key."""
+    return ordered.profile(df, spec.keys, spec.start, spec.end, spec.is_current)
 
 
 # Two versions a and b of a key overlap when a.start < b.end, a.end > b.start and their starts
@@ -187,17 +142,14 @@ def _beyond(df: DataFrame, spec: HistorySpec) -> Column:
 
 
 def _ranked(
-    df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: bool, merge: bool = False
+    df: DataFrame, spec: HistorySpec, hot: HotKeys | None, open_end: bool
 ) -> DataFrame:
     """Earlier versions (_kind 0) with the run of later versions inside them, and those (_kind 1).
 
-    ``merge`` makes equal rows one row; those of hot keys already are.
-
     With hot keys this runs a job that stores the rows touching other rows, if the session names a
     folder for that; without one they are computed again where they are needed.
 
-    The run is [_lo, _hi) in ranks; the rank of a later version is _hi - 1. The columns with
-    suffix _n count equal rows as often as they occur, those with suffix _v only inverted rows.
+    The run is [_lo, _hi) in ranks; the rank of a later version is _hi - 1.
     """
     keys, start = spec.keys, spec.start
     until = col(spec.end)
@@ -209,20 +161,13 @@ def _ranked(
     outer = F.coalesce(usable & (F.col("next_start") < until), F.lit(False))
     inner = F.coalesce(usable & until.isNotNull() & (F.col("_reach") > col(start)), F.lit(False))
     rows = rows.withColumns({"_outer": outer, "_inner": inner}).where(F.col("_outer") | F.col("_inner"))
-    if merge and not hot:
-        rows = rows.groupBy(*cols([*keys, start, spec.end])).agg(
-            F.sum(COUNT).alias(COUNT), F.max("_outer").alias("_outer"), F.max("_inner").alias("_inner")
-        )
     if hot and has_shared_folder(df.sparkSession):
         # Each step below reads its input twice, for the rows and for the totals of the lanes.
         rows = checkpointed(rows)
 
     def running(frame: DataFrame, is_later: Column, window: WindowSpec, prefix: str) -> DataFrame:
         one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-        units = {"": F.when(is_later, one), "_v": F.when(is_later & (until < col(start)), one)}
-        if hot or merge:
-            units["_n"] = F.when(is_later, F.col(COUNT))
-        units = {suffix: F.coalesce(u, none) for suffix, u in units.items()}
+        units = {"": F.coalesce(F.when(is_later, one), none)}
         if not hot:
             return frame.withColumns({prefix + x: F.sum(u).over(window) for x, u in units.items()})
         frame = carried(frame, keys, {f"_base{x}": (F.sum(u), sum_before) for x, u in units.items()})
@@ -309,69 +254,14 @@ def overlapping_ranges(
     return repeat_rows(out) if hot else out.drop(COUNT)
 
 
-def overlap_counts(
-    df: DataFrame, spec: HistorySpec, hot: HotKeys | None = None, open_end: bool = False
-) -> DataFrame:
+def overlap_counts(df: DataFrame, spec: HistorySpec, open_end: bool = False) -> DataFrame:
     """(keys, count): rows of ``overlapping_ranges`` per key, without building the pairs.
 
-    The length of a run is the number of partners, less the inverted versions in it that end
-    no later than the run's owner starts. Those are counted in blocks of 1, 2, 4, ... ranks:
-    each run is put together from a few blocks, and within a block a running count in order of
-    time answers all runs at once. The work grows with n log n in the worst case.
+    A walk through the versions in order leaves out those that touch no other; the rest is counted by orders in time.
+    The work grows with n log n in the number of versions of keys with inverted ones, and of all others with their sort.
     """
-    start, end = col(spec.start), col(spec.end)
-    rows = _ranked(df, spec, hot, open_end, merge=True)
-    spread_over = F.pmod(F.xxhash64(start, end), F.lit(_WHOLE_RUNS))
-    highest = F.max("_hi").over(Window.partitionBy(*lane_keys(spec.keys, hot)))
-    if hot:
-        rows = carried(rows, spec.keys, {"_of_key": (F.max("_hi"), largest_of_key)})
-        highest = F.coalesce("_of_key", highest)
-    rows = rows.withColumn("_highest", highest)
-    levels = _top_bit(F.col("_highest"))
-    rows = rows.where((F.col("_kind") == 0) | (end < start))
-
-    def part(level: Column, block: Column, sign: int) -> Column:
-        return F.struct(level.cast("int").alias("level"), block.alias("block"), F.lit(sign).alias("sign"))
-
-    def shifted(value: Column, by: Column) -> Column:
-        return F.call_function("shiftright", value, by)
-
-    def ranks_below(bound: Column, sign: int) -> Column:
-        """The blocks that make up the ranks below ``bound``, one per set bit."""
-        bits = F.filter(F.sequence(F.lit(0), _top_bit(bound)), lambda j: F.getbit(bound, j) == 1)
-        return F.transform(bits, lambda j: part(j, shifted(bound, j) - 1, sign))
-
-    own_blocks = F.transform(F.sequence(F.lit(0), levels), lambda j: part(j, shifted(F.col("_hi") - 1, j), 0))
-    whole = F.array(part(F.lit(-1), spread_over, 0))
-    looked_into = F.concat(whole, ranks_below(F.col("_hi"), 1), ranks_below(F.col("_lo"), -1))
-    parts = (
-        F.when(F.col("_kind") == 1, own_blocks)
-        .when(F.col("_hi_v") > F.col("_lo_v"), looked_into)
-        .otherwise(whole)
-    )
-    rows = rows.withColumn("_part", F.explode(parts)).withColumns(
-        {"_level": F.col("_part.level"), "_block": F.col("_part.block"), "_sign": F.col("_part.sign")}
-    )
-    # Only rows that touch others are left; blocks of one key go to different tasks.
-    rows = rows.repartition(*cols(spec.keys), F.col("_level"), F.col("_block"))
-    is_later = F.col("_kind") == 1
-    in_time = Window.partitionBy(*cols(spec.keys), F.col("_level"), F.col("_block")).orderBy(
-        F.when(is_later, end).otherwise(start), F.col("_kind").desc()
-    )
-    too_early = F.sum(F.when(is_later, F.col(COUNT)).otherwise(F.lit(0))).over(
-        in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    run = F.col("_hi_n") - F.col("_lo_n")
-    partners = F.when(F.col("_level") < 0, run).otherwise(-F.col("_sign") * F.col("_early"))
-    per_key = (
-        rows.withColumn("_early", too_early)
-        .where(~is_later)
-        .groupBy(*cols(spec.keys))
-        .agg(F.sum(partners * F.col(COUNT) * 2).alias(COUNT))
-    )
-    return per_key.where(F.col(COUNT) > 0)
-
-
-def _top_bit(value: Column) -> Column:
-    """Position of the highest set bit, 0 for zero."""
-    return F.length(F.bin(value)) - 1
+    if open_end:
+        df = df.withColumn(spec.end, F.coalesce(col(spec.end), _beyond(df, spec)))
+    flag = [spec.is_current] if spec.is_current in df.columns else []
+    rows = ordered.touching(df, spec.keys, spec.start, spec.end, [spec.start, spec.end, *flag])
+    return ordered.overlap_counts(rows, spec.keys, spec.start, spec.end)

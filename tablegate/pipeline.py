@@ -31,7 +31,6 @@ from tablegate.config import (
 )
 from tablegate.gate import PipelineBlocked
 from tablegate.plans import checks as plan
-from tablegate.plans.lanes import find_hot_keys
 from tablegate.plans.results import failure_sample, overall
 from tablegate.sources.tables import Source, Tables
 
@@ -164,11 +163,7 @@ class Pipeline:
         if tier == COMPLETENESS:
             return plan.completeness_groups(spec, self.tables, options.batch_id, options.strict_zero_base)
         if tier == HISTORY:
-            try:
-                hot = find_hot_keys(self.tables.curated(spec.name), spec.history)
-            except Exception:  # the checks of a table that cannot be read say so themselves
-                hot = None
-            return plan.history_groups(spec, self.tables, hot)
+            return plan.history_groups(spec, self.tables)
         if tier == RULES:
             return plan.rule_groups(spec, self.tables, self.registry.__getitem__)
         if not spec.metrics:

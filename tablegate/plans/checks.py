@@ -34,7 +34,6 @@ from tablegate.config import (
 )
 from tablegate.functions.columns import COUNT, key_json
 from tablegate.operators import completeness, history, recon, rules
-from tablegate.plans.lanes import HotKeys
 from tablegate.sources.tables import Source, Tables
 
 RESULT_COLUMNS = (
@@ -162,7 +161,7 @@ class KeyGroup(RowGroup):
 
 @dataclass(frozen=True)
 class FrameGroup(Group):
-    """One check whose violations are a frame with a count per row.
+    """One check whose violations are a frame, which may have a count per row.
 
     ``listed`` gives the rows for the sample where they differ from the counted ones.
     """
@@ -172,8 +171,10 @@ class FrameGroup(Group):
     listed: Callable[[], DataFrame] | None = None
 
     def results(self) -> DataFrame:
-        total = F.coalesce(F.sum(COUNT), F.lit(0)).cast("bigint").alias("c0")
-        return _counted(self.counted().agg(total), self.checks)
+        rows = self.counted()
+        each = F.col(COUNT) if COUNT in rows.columns else F.lit(1)
+        total = F.coalesce(F.sum(each), F.lit(0)).cast("bigint").alias("c0")
+        return _counted(rows.agg(total), self.checks)
 
     def offenders(self, names: Sequence[str]) -> DataFrame | None:
         check = self.checks[0]
@@ -289,7 +290,7 @@ def completeness_groups(
     ]
 
 
-def history_groups(spec: TableSpec, tables: Tables, hot: HotKeys | None = None) -> list[Group]:
+def history_groups(spec: TableSpec, tables: Tables) -> list[Group]:
     h, name = spec.history, spec.name
 
     def rows() -> DataFrame:
@@ -350,16 +351,16 @@ def history_groups(spec: TableSpec, tables: Tables, hot: HotKeys | None = None)
     parts = (
         KeyGroup(per_key, rows, h.keys, h),
         RowGroup(per_row, rows, h.keys),
-        FrameGroup((chain,), h.keys, lambda: history.broken_links(rows(), h, hot)),
+        FrameGroup((chain,), h.keys, lambda: history.chain_continuity(rows(), h)),
     )
     return [
         ProfileGroup(
             (*per_key, *per_row, chain),
             history.PROFILE,
             parts,
-            lambda: history.history_profile(rows(), h, hot),
+            lambda: history.history_profile(rows(), h),
         ),
-        FrameGroup((overlap,), h.keys, lambda: history.overlap_counts(rows(), h, hot)),
+        FrameGroup((overlap,), h.keys, lambda: history.overlap_counts(rows(), h)),
     ]
 
 

@@ -1,4 +1,4 @@
-"""Ordered work per business key that survives a key with a huge number of versions.
+"""Listing the pairs of a business key with a huge number of versions.
 
 Windows partitioned by key put all versions of a key into one task. That is the right plan
 for the usual handful of versions, but not for a key that holds a large share of the table.
@@ -21,12 +21,10 @@ so such a lane holds at most one row per distinct pair of end and flag.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from math import ceil, log2, sqrt
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,17 +102,6 @@ def _of_keys(rows: DataFrame, hashes: Sequence[int], how: str) -> DataFrame:
     return rows.join(F.broadcast(names), _HASH, how)
 
 
-def find_all_hot_keys(tables: Mapping[str, tuple[DataFrame, HistorySpec]]) -> dict[str, HotKeys]:
-    """``find_hot_keys`` for several tables, their jobs in flight together."""
-    if not tables:
-        return {}
-    session = next(iter(tables.values()))[0].sparkSession
-    find = inheritable_thread_target(session)(find_hot_keys)
-    with ThreadPoolExecutor(len(tables)) as pool:
-        jobs = {n: pool.submit(find, *t) for n, t in tables.items()}
-        return {n: j.result() for n, j in jobs.items()}
-
-
 def _split_table(df: DataFrame, hot: HotKeys) -> DataFrame:
     """(hash, split points in groups of equal width). The planner knows its size and joins by it."""
     rows = []
@@ -209,9 +196,5 @@ def largest_before(total: str, lanes: WindowSpec) -> Column:
     return F.max(total).over(lanes.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def largest_of_key(total: str, lanes: WindowSpec) -> Column:
-    return F.max(total).over(lanes.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-
-
 def sum_before(total: str, lanes: WindowSpec) -> Column:
     return F.coalesce(F.sum(total).over(lanes.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tablegate.config import HistorySpec
 from tablegate.functions.columns import COUNT
 from tablegate.operators import history
+from tablegate.plans import ordered
 from tablegate.plans.lanes import HotKeys, find_hot_keys
 
 SPEC = HistorySpec(("k",), is_current="cur", start="s", end="e")
@@ -58,39 +59,89 @@ def counted(frame) -> Counter:
     return Counter(tuple(r) for r in frame.collect())
 
 
+@pytest.fixture(params=[1, 3, 17], ids=lambda n: f"ranges{n}")
+def ranges(request, spark):
+    """As many ranges as asked for, so that keys, equal starts and equal rows are parted; few rows in an Arrow batch."""
+    settings = {
+        "spark.sql.shuffle.partitions": str(request.param),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "5" if request.param == 3 else "10000",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("open_end", [False, True])
+def test_overlapping_pairs(case, hot, open_end):
+    rows, df = case
+    assert counted(history.overlapping_ranges(df, SPEC, hot, open_end)) == overlaps(rows, open_end)
+
+
 @pytest.mark.parametrize("open_end", [False, True])
-def test_overlaps(case, hot, open_end):
+def test_overlap_counts(case, ranges, open_end):
     rows, df = case
-    want = overlaps(rows, open_end)
-    assert counted(history.overlapping_ranges(df, SPEC, hot, open_end)) == want
     per_key = Counter()
-    for (key, *_), n in want.items():
+    for (key, *_), n in overlaps(rows, open_end).items():
         per_key[key] += n
-    found = {r["k"]: r[COUNT] for r in history.overlap_counts(df, SPEC, hot, open_end).collect()}
-    assert found == per_key
+    assert {r["k"]: r[COUNT] for r in history.overlap_counts(df, SPEC, open_end).collect()} == per_key
+
+
+def test_chain(case, ranges):
+    rows, df = case
+    assert counted(history.chain_continuity(df, SPEC)) == broken_chain(rows)
 
 
-def test_chain(case, hot):
+def test_profile(case, ranges):
     rows, df = case
-    want = broken_chain(rows)
-    assert counted(history.chain_continuity(df, SPEC, hot)) == want
-    assert sum(r[COUNT] for r in history.broken_links(df, SPEC, hot).collect()) == sum(want.values())
+    assert history.history_profile(df, SPEC).first().asDict() == profile(rows)
 
 
-def test_profile(case, hot):
+def test_text_starts(case, ranges):
+    """The same with dates as text, which order alike."""
     rows, df = case
-    assert history.history_profile(df, SPEC, hot).first().asDict() == profile(rows)
+    texts = df.selectExpr("k", "cast(s as string) s", "cast(e as string) e", "cur")
+    assert history.history_profile(texts, SPEC).first().asDict() == profile(rows)
+    assert sum(r[COUNT] for r in history.overlap_counts(texts, SPEC).collect()) == sum(overlaps(rows).values())
+
 
+def test_nothing_to_walk_through(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert set(history.history_profile(none, SPEC).first()) == {0}
+    assert history.overlap_counts(none, SPEC).count() == history.chain_continuity(none, SPEC).count() == 0
 
-def test_many_versions_use_several_rank_blocks(spark):
+
+def test_many_versions_use_several_rank_blocks(spark, ranges):
     """One key whose runs of partners are longer than a block of ranks, some of them inverted."""
     rows = [(1, DAY + timedelta(days=i), DAY + timedelta(days=i + 300), False) for i in range(400)]
     rows += [(1, DAY + timedelta(days=i), DAY + timedelta(days=i - 40), False) for i in range(60, 400, 7)]
     df = spark.createDataFrame(rows, SCHEMA)
     want = overlaps(rows)
     assert counted(history.overlapping_ranges(df, SPEC)) == want
-    for hot in (None, find_hot_keys(df, SPEC, 100, 50)):
-        assert history.overlap_counts(df, SPEC, hot).first()[COUNT] == sum(want.values())
+    assert history.overlap_counts(df, SPEC).first()[COUNT] == sum(want.values())
+
+
+def test_one_key_of_inverted_versions_is_parted(spark, ranges):
+    """Every version is inverted, many are equal: no partition holds more than its share of any step."""
+    r = random.Random(7)
+    rows = []
+    for _ in range(600):
+        start = r.randrange(80)
+        rows.append((1, DAY + timedelta(days=start), DAY + timedelta(days=start - r.randrange(0, 60)), False))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sum(r[COUNT] for r in history.overlap_counts(df, SPEC).collect()) == sum(overlaps(rows).values())
+    sizes = [r["n"] for r in ordered.in_order(df, ["k", "s", "e", "cur"]).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == ranges and max(sizes) <= 3 * len(rows) / ranges
+
+
+def test_equal_rows_are_parted(spark, ranges):
+    df = spark.createDataFrame([(1, DAY, DAY, True)] * 400, SCHEMA)
+    sizes = ordered.in_order(df, ["k", "s", "e", "cur"]).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == ranges and max(r["count"] for r in sizes) <= 3 * 400 / ranges
+    assert history.history_profile(df, SPEC).first()["duplicate_current"] == 1
 
 
 def test_timestamps_and_composite_keys(spark):
@@ -103,8 +154,9 @@ def test_timestamps_and_composite_keys(spark):
         assert history.overlapping_ranges(df, spec, hot).count() == 0
         found = history.overlapping_ranges(df, spec, hot, open_end=True).collect()
         assert len(found) == 2 and {r["b_end"] for r in found} == {None, t + timedelta(hours=2)}
-        broken = history.chain_continuity(df, spec, hot).collect()
-        assert [r["next_start"] for r in broken] == [t + timedelta(hours=1)]
+    broken = history.chain_continuity(df, spec).collect()
+    assert [r["next_start"] for r in broken] == [t + timedelta(hours=1)]
+    assert [tuple(r) for r in history.overlap_counts(df, spec, open_end=True).collect()] == [("x", 1, 2)]
 
 
 def test_hot_keys_are_found_and_cut(spark):
@@ -140,7 +192,7 @@ def test_a_hot_key_without_any_start(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     hot = find_hot_keys(df, SPEC, 10, 5)
     assert isinstance(hot, HotKeys) and hot
-    assert history.history_profile(df, SPEC, hot).first()["null_start"] == 30
+    assert history.history_profile(df, SPEC).first()["null_start"] == 30
     assert history.overlapping_ranges(df, SPEC, hot).count() == 0
 
 
@@ -153,10 +205,11 @@ def test_keys_of_a_ten_thousandth_of_the_rows_are_found(spark):
     assert len(hot.splits) == 20 and all(len(cuts) >= 2 for cuts in hot.splits.values())
 
 
-def test_status_does_not_depend_on_a_folder(spark, monkeypatch):
+def test_pairs_do_not_depend_on_a_folder(spark, monkeypatch):
     rows = [(1, date(2020, 1, 1 + i % 28), date(2020, 1, 3 + i % 20), True) for i in range(200)]
     df = spark.createDataFrame(rows, "k int, s date, e date, cur boolean")
     hot = find_hot_keys(df, SPEC, 100, 50)
-    want = history.overlap_counts(df, SPEC, hot).first()[COUNT]
+    want = history.overlapping_ranges(df, SPEC, hot).count()
+    assert history.overlap_counts(df, SPEC).first()[COUNT] == want
     monkeypatch.setattr(history, "has_shared_folder", lambda spark: False)
-    assert hot and history.overlap_counts(df, SPEC, hot).first()[COUNT] == want
+    assert hot and history.overlapping_ranges(df, SPEC, hot).count() == want

@@ -18,7 +18,7 @@ from tablegate.config import ForeignKey, HistorySpec, Metric, TableSpec
 from tablegate.functions.columns import COUNT
 from tablegate.operators import completeness, history, recon, rules
 from tablegate.plans import checks as plan
-from tablegate.plans.lanes import find_all_hot_keys, find_hot_keys
+from tablegate.plans.lanes import find_hot_keys
 from tablegate.plans.results import failure_sample, run_summary
 from tablegate.sources.shared import shared_folder
 from tablegate.sources.tables import FrameTables, batch_slice, current
@@ -143,7 +143,7 @@ def overlap_counts_event_spans(spark, sf):
         F.date_add(day, (F.col("event_id") % 4).cast("int") - 1).alias("effective_end_date"),
     )
     spec = HistorySpec(("event_type",))
-    counts = history.overlap_counts(spans, spec, find_hot_keys(spans, spec))
+    counts = history.overlap_counts(spans, spec)
     return counts.withColumnRenamed(COUNT, "pairs")
 
 
@@ -156,12 +156,12 @@ def overlap_counts_event_times(spark, sf):
         "event_type", F.col("at").alias("effective_start_date"), (F.col("at") + length).alias("effective_end_date")
     )
     spec = HistorySpec(("event_type",))
-    counts = history.overlap_counts(spans, spec, find_hot_keys(spans, spec))
+    counts = history.overlap_counts(spans, spec)
     return counts.withColumnRenamed(COUNT, "pairs")
 
 
 def _chain(df: DataFrame, spec: HistorySpec) -> DataFrame:
-    return history.chain_continuity(df, spec, find_hot_keys(df, spec))
+    return history.chain_continuity(df, spec)
 
 
 @query
@@ -309,12 +309,9 @@ _RESULT = ("check_name", "status", "severity", "failure_count")
 
 def _groups(spark, sf, *tiers: int) -> list[plan.Group]:
     tables, source = t.tables(spark, sf), t.source(spark, sf)
-    hot = {}
-    if 2 in tiers:
-        hot = find_all_hot_keys({s.name: (tables.curated(s.name), s.history) for s in t.REGISTRY})
     made = {
         1: lambda spec: plan.completeness_groups(spec, tables, t.BATCH),
-        2: lambda spec: plan.history_groups(spec, tables, hot[spec.name]),
+        2: lambda spec: plan.history_groups(spec, tables),
         3: lambda spec: plan.rule_groups(spec, tables, t.REGISTRY.__getitem__),
         4: lambda spec: plan.recon_groups(spec, tables, source, 1.0),
     }
@@ -363,8 +360,7 @@ def _failure_sample(spark, sf):
     """Samples of the history and rule checks of the order table that failed."""
     tables = t.tables(spark, sf)
     spec = t.REGISTRY["order"]
-    hot = find_hot_keys(tables.curated("order"), spec.history)
-    groups = plan.history_groups(spec, tables, hot) + plan.rule_groups(spec, tables, t.REGISTRY.__getitem__)
+    groups = plan.history_groups(spec, tables) + plan.rule_groups(spec, tables, t.REGISTRY.__getitem__)
     return failure_sample(plan.offenders(groups))
 
 
