@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.functions.columns import COUNT, cols
+from tablegate.functions.columns import COUNT, col, cols
 from tablegate.sources.shared import find_package
 
 _ROW = "_row"
@@ -391,13 +391,17 @@ def _numbers(keys: int, parts: int, schema: pa.Schema):
     return run
 
 
-def dominated(df: DataFrame, keys: Sequence[str], x: str, y: str, is_query: str, weight: str, most: str) -> DataFrame:
-    """(keys, total): over pairs of a query and a point of a key with no larger x and no smaller y, the products of weights.
+_LEVEL = ("_level", "_in", "_block")
 
-    Points and queries are sorted by x, a point before a query of the same x. The places of a pair differ in one highest
-    bit; at that bit's level the two stand in the two halves of one block, and in order of y it is an ordered pair. All
-    levels are summed together, and a block of any size is cut into ranges of y. The partitions that a key is spread
-    over are levels above those of places. ``most`` bounds the number of a key's points and queries.
+
+def dominance_levels(df: DataFrame, keys: Sequence[str], x: str, y: str, is_query: str, weight: str, most: str) -> DataFrame:
+    """Rows whose ordered pairs are those of a query and a point of a key with no larger x and no smaller y.
+
+    Columns: keys, a segment in ``_LEVEL``, y, whether the row is a point, weight. Points and queries are sorted by x, a
+    point before a query of the same x. The places of a pair differ in one highest bit; at that bit's level the two
+    stand in the two halves of one block, and in order of y the query comes first. A block of any size is a segment
+    that can be cut into ranges of y. The partitions that a key is spread over are levels above those of places.
+    ``most`` bounds the number of a key's points and queries.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(*cols([*keys, x, is_query, y, weight, most]))
@@ -415,14 +419,10 @@ def dominated(df: DataFrame, keys: Sequence[str], x: str, y: str, is_query: str,
 
     within = levels(F.col("_place"), F.length(F.bin(most)), 0, F.col(PART))
     over = levels(F.col(PART), F.lit((parts - 1).bit_length()), 64, F.lit(-1).cast("bigint"))
-    blocks = F.explode(F.concat(*[F.coalesce(x, F.slice(within, 1, 0)) for x in (within, over)]))
-    rows = rows.withColumn("_at", blocks).select(
-        *cols([*keys, y, is_query, weight]), F.col("_at.level").alias("_level"), F.col("_at.part").alias("_in"), F.col("_at.block").alias("_block")
-    )
-    rows = rows.withColumn("_point", 1 - F.col(is_query))
-    weighs = lambda kind: F.col(kind) * F.col(weight)
-    found = ordered_pairs(rows, [*keys, "_level", "_in", "_block"], [y, "_point"], weighs(is_query), weighs("_point"))
-    return found.groupBy(*cols(keys)).agg(F.sum("total").alias("total"))
+    blocks = F.explode(F.concat(*[F.coalesce(b, F.slice(within, 1, 0)) for b in (within, over)]))
+    rows = rows.withColumn("_at", blocks)
+    at = [F.col(f"_at.{c}").alias(n) for c, n in zip(("level", "part", "block"), _LEVEL)]
+    return rows.select(*cols(keys), *at, col(y), (1 - F.col(is_query)).alias("_point"), col(weight))
 
 
 def overlap_counts(rows: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
@@ -448,15 +448,20 @@ def overlap_counts(rows: DataFrame, keys: Sequence[str], start: str, end: str) -
     plain = plain.select(*k, (big(n) * (n - 1) - F.col("alike") + 2 * big(z) - z).alias("amount"))
     event = lambda at, kind: F.struct(F.col(at).alias("_at"), F.lit(kind).alias("_kind"))
     events = rows.select(*k, "_w", F.explode(F.array(event("_e", 0), event("_s", 1))).alias("_event")).select(*k, "_w", "_event.*")
-    kind = F.col("_kind")
-    in_time = ordered_pairs(events, keys, ["_at", "_kind"], (1 - kind) * w, kind * w)
     is_empty = F.col("_empty") > 0
     point = F.struct(F.col("_e").alias("_x"), F.lit(0).alias("_query"), F.col("_s").alias("_y"), (2 * w - F.col("_empty")).alias("_weight"))
     query = F.struct(F.col("_s").alias("_x"), F.lit(1).alias("_query"), F.col("_e").alias("_y"), w.alias("_weight"))
     with_empty = rows.groupBy(*k).agg((F.count("*") + F.count_if(is_empty)).alias("_most"), F.max("_empty").alias("_any"))
     both = F.array_compact(F.array(point, F.when(is_empty, query)))
     marks = rows.join(with_empty.where("_any > 0").drop("_any"), list(keys)).select(*k, "_most", F.explode(both).alias("_mark"))
-    two_ways = dominated(marks.select(*k, "_most", "_mark.*"), keys, "_x", "_y", "_query", "_weight", "_most")
-    amounts = plain.union(in_time.select(*k, -2 * big(F.col("total")))).union(two_ways.select(*k, big(F.col("total"))))
+    marks = marks.select(*k, "_most", "_mark.*")
+    two_ways = dominance_levels(marks, keys, "_x", "_y", "_query", "_weight", "_most")
+    # All segments are summed by one job: the rows in order of time, ends first, and the levels of dominance.
+    no_level = [F.lit(v).cast(kind).alias(c) for v, kind, c in zip((-1, 0, 0), ("int", "bigint", "bigint"), _LEVEL)]
+    # The levels come first, as their partitions are numbered from zero in a stage that holds both.
+    segments = two_ways.toDF(*keys, *_LEVEL, "_at", "_kind", "_w").union(events.select(*k, *no_level, "_at", "_kind", "_w"))
+    found = ordered_pairs(segments, [*keys, *_LEVEL], ["_at", "_kind"], (1 - F.col("_kind")) * w, F.col("_kind") * w)
+    signed = F.when(F.col("_level") < 0, -2).otherwise(1) * big(F.col("total"))
+    amounts = plain.union(found.select(*k, signed))
     counts = amounts.groupBy(*k).agg(F.sum("amount").cast("bigint").alias(COUNT))
     return counts.where(F.col(COUNT) > 0)
