@@ -13,18 +13,20 @@ values: readers of the log know them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegate.config import (
     COMPLETENESS,
     HISTORY,
     RECON,
     RULES,
+    SAMPLE_SIZE,
     ConfigError,
     ForeignKey,
     HistorySpec,
@@ -32,8 +34,9 @@ from tablegate.config import (
     TableSpec,
     Tier,
 )
-from tablegate.functions.columns import COUNT, key_json
+from tablegate.functions.columns import COUNT, col, cols
 from tablegate.operators import completeness, history, recon, rules
+from tablegate.plans.results import lowest
 from tablegate.sources.tables import Source, Tables
 
 RESULT_COLUMNS = (
@@ -74,7 +77,7 @@ class Group:
         raise NotImplementedError
 
     def offenders(self, names: Sequence[str]) -> DataFrame | None:
-        """(check_name, key_json, count) of the named checks, or None if they have no keys."""
+        """(check_name, key_json, count) of the first failing keys of each task, or None if the checks have no keys."""
         return None
 
     def split(self) -> list[Group]:
@@ -101,23 +104,38 @@ def _counted(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def _tag(checks: Sequence[Check], keys: Sequence[str]) -> Column:
-    """Array of (check_name, key_json) of the predicates a row meets."""
-    return F.filter(
-        F.array(
-            *[
-                F.when(
-                    c.predicate,
-                    F.struct(
-                        F.lit(c.full_name).alias("check_name"),
-                        key_json(_sample_columns(keys, c)).alias("key_json"),
-                    ),
-                )
-                for c in checks
-            ]
-        ),
-        lambda x: x.isNotNull(),
-    )
+def _tag(checks: Sequence[Check], keys: Sequence[str], schema: T.StructType) -> Column:
+    """Array of (check_name, order) of the predicates a row meets."""
+    hits = [
+        F.when(
+            c.predicate,
+            F.struct(F.lit(c.full_name).alias("check_name"), _order(_sample_columns(keys, c), schema).alias("_order")),
+        )
+        for c in checks
+    ]
+    return F.filter(F.array(*hits), lambda x: x.isNotNull())
+
+
+def _order(names: Sequence[str], schema: T.StructType) -> Column:
+    """Text in the order of the JSON of the named columns."""
+    parts = []
+    for i, n in enumerate(names):
+        text = F.coalesce(col(n).cast("string"), F.lit("null"))
+        quoted = isinstance(schema[n].dataType, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+        parts += [F.concat(F.lit('"'), text, F.lit('"')) if quoted else text, F.lit("," if i < len(names) - 1 else "}")]
+    return F.concat(*parts)
+
+
+def _first_keys(hits: DataFrame, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(check_name, key_json, count) of (check_name, order, key, count): rows are cut on raw keys, and JSON is made of
+    those that are left. ``columns`` names the fields of the key that a check shows."""
+    kept = lowest(hits, "check_name", "_order", SAMPLE_SIZE)
+    shown = lambda names: F.struct(*[F.col("_key").getField(n).alias(n) for n in names])
+    json = [
+        F.when(F.col("check_name") == check, F.to_json(shown(names), {"ignoreNullFields": "false"}))
+        for check, names in columns.items()
+    ]
+    return kept.select("check_name", F.coalesce(*json).alias("key_json"), COUNT)
 
 
 def _sample_columns(keys: Sequence[str], check: Check) -> list[str]:
@@ -138,9 +156,12 @@ class RowGroup(Group):
         return _counted(counts, self.checks)
 
     def offenders(self, names: Sequence[str]) -> DataFrame:
-        wanted = [c for c in self.checks if c.full_name in names]
-        hits = self.frame().select(F.explode(_tag(wanted, self.keys)).alias("_hit"))
-        return hits.select("_hit.check_name", "_hit.key_json", F.lit(1).cast("bigint").alias(COUNT))
+        wanted = {c.full_name: _sample_columns(self.keys, c) for c in self.checks if c.full_name in names}
+        frame = self.frame()
+        every = list(dict.fromkeys(n for shown in wanted.values() for n in shown))
+        tags = _tag([c for c in self.checks if c.full_name in wanted], self.keys, frame.schema)
+        hits = frame.select(F.explode(tags).alias("_hit"), F.struct(*cols(every)).alias("_key"))
+        return _first_keys(hits.select("_hit.*", "_key", F.lit(1).cast("bigint").alias(COUNT)), wanted)
 
 
 @dataclass(frozen=True)
@@ -182,11 +203,14 @@ class FrameGroup(Group):
             return None
         rows = (self.listed or self.counted)()
         count = F.col(COUNT) if COUNT in rows.columns else F.lit(1).cast("bigint")
-        return rows.select(
+        shown = _sample_columns(self.keys, check)
+        hits = rows.select(
             F.lit(check.full_name).alias("check_name"),
-            key_json(_sample_columns(self.keys, check)).alias("key_json"),
+            _order(shown, rows.schema).alias("_order"),
+            F.struct(*cols(shown)).alias("_key"),
             count.alias(COUNT),
         )
+        return _first_keys(hits, {check.full_name: shown})
 
 
 @dataclass(frozen=True)
@@ -512,7 +536,7 @@ def _described(group: Group) -> DataFrame:
 
 
 def offenders(groups: Sequence[Group], names: Sequence[str] | None = None) -> DataFrame | None:
-    """Failing keys of the named checks, of all checks if none are named."""
+    """The first failing keys of each task, of the named checks or of all if none are named."""
     found = []
     for g in groups:
         mine = [c.full_name for c in g.checks if names is None or c.full_name in names]

@@ -2,23 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.config import SAMPLE_SIZE, Status
 from tablegate.functions.columns import COUNT
+from tablegate.sources.shared import find_package
+
+
+def lowest(rows: DataFrame, group: str, by: str, n: int) -> DataFrame:
+    """Of each partition the ``n`` rows of each group with the smallest text in ``by``, kept while rows pass by.
+
+    Nothing is shuffled or sorted; what is kept of two partitions can be cut again.
+    """
+    find_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, pa.Table] = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for name in pc.unique(table[group]).to_pylist():
+                found = table.filter(pc.equal(table[group], name))
+                if name in kept:
+                    found = pa.concat_tables([kept[name], found])
+                if len(found) > n:
+                    found = found.take(pc.select_k_unstable(found, n, [(by, "ascending")]))
+                kept[name] = found.combine_chunks()
+        for found in kept.values():
+            yield from found.to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def failure_sample(tagged: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
     """(check_name, failure_sample): JSON array of the first ``n`` keys in text order.
 
-    ``tagged`` holds (check_name, key_json, count). The rank filter is applied before the
-    shuffle as well as after it, so at most ``n`` rows per check and task are exchanged.
+    ``tagged`` holds (check_name, key_json, count). At most ``n`` rows per check and task are exchanged and held.
     """
-    order = Window.partitionBy("check_name").orderBy("key_json")
-    first = tagged.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= n)
+    first = lowest(tagged, "check_name", "key_json", n)
+    first = lowest(first.repartition("check_name"), "check_name", "key_json", n)
     copies = F.array_repeat("key_json", F.least(F.col(COUNT), F.lit(n)).cast("int"))
     picked = F.slice(F.sort_array(F.flatten(F.collect_list(copies))), 1, n)
     return first.groupBy("check_name").agg(

@@ -48,22 +48,38 @@ def test_batch_filter_reaches_the_scan(stored):
     assert "ReadSchema: struct<order_id:bigint,_batch_id:string>" in text
 
 
-def test_history_checks_share_one_scan_and_one_shuffle(stored):
+RANGES = r"- Exchange rangepartitioning"
+
+
+def test_history_checks_share_one_scan_and_one_order(stored):
     groups = plan.history_groups(t.REGISTRY["order_line"], stored)
     text = executed(plan.check_results(groups))
     assert count("FileScan", text) == 1
-    assert count("ReusedExchange", text) == 1
-    # Besides the table: blocks of the few rows that touch others, and their sums by key.
-    assert count(SHUFFLE, text) == 3
-    assert count(r"hashpartitioning\(order_id#\d+L?, line_number#\d+L?, _level#\d+, _block", text) == 1
+    # One order of the table, read again by the walk that looks for overlaps; the others are of rows that touch others.
+    assert count(RANGES + r"\(order_id#\d+L ASC NULLS FIRST, line_number#\d+ ASC NULLS FIRST, effective_start", text) == 1
+    assert count(r"ReusedExchange .*effective_start", text) == 1
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_profile_alone_groups_without_another_shuffle(stored):
+def test_profile_is_one_scan_and_one_exchange(stored):
     text = executed(history.history_profile(stored.curated("order"), t.ORDER))
-    assert count("FileScan", text) == 1 and count(SHUFFLE, text) == 1
+    assert count("FileScan", text) == 1 and count(RANGES, text) == 1 and count(SHUFFLE, text) == 0
     assert "ReadSchema: struct<order_id:bigint,effective_start_date:date,effective_end_date:date,is_current:boolean>" in text
 
 
+def test_a_chain_is_one_scan_and_one_exchange(stored):
+    text = executed(history.chain_continuity(stored.curated("order"), t.ORDER))
+    assert count("FileScan", text) == 1 and count(RANGES, text) == 1 and count(SHUFFLE, text) == 0
+
+
+def test_no_job_runs_while_a_history_plan_is_built(spark, stored):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    plan.check_results(plan.history_groups(t.REGISTRY["order_line"], stored))
+    history.chain_continuity(stored.curated("order"), t.ORDER)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+
+
 def test_overlap_pairs_need_one_shuffle_and_no_join(stored):
     text = executed(history.overlapping_ranges(stored.curated("order"), t.ORDER))
     assert count("Exchange", text) == 1 and count("Join", text) == 0
@@ -106,10 +122,15 @@ def test_nothing_is_a_cross_join(stored):
     assert count("CartesianProduct|NestedLoop", text) == 0
 
 
-def test_samples_are_cut_before_the_shuffle(stored):
+def test_samples_are_cut_on_raw_keys_without_a_sort(stored):
     groups = plan.rule_groups(t.REGISTRY["order"], stored, t.REGISTRY.__getitem__)
-    text = executed(failure_sample(plan.offenders(groups)))
-    assert count("WindowGroupLimit.*Partial", text) >= 1 and count("WindowGroupLimit.*Final", text) >= 1
+    (rows,) = [g for g in groups if isinstance(g, plan.RowGroup)]
+    text = executed(failure_sample(plan.offenders([rows])))
+    assert count(r"\bSort\b", text) == 0 and count("WindowGroupLimit", text) == 0
+    # From the top of the plan down: JSON is made above the lowest cut and nowhere below it.
+    below = text[text.rindex("MapInArrow") :]
+    assert "StructsToJson" in text and "StructsToJson" not in below
+    assert count(SHUFFLE, text) <= 2
 
 
 def test_a_hot_reference_is_split(spark):
