@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tablegate.config import SUM_TOLERANCE_PCT, HistorySpec, Status
 from tablegate.functions.columns import COUNT, col, cols, repeat_rows
 from tablegate.functions.compare import off_zero_base, paired
+from tablegate.functions.sums import steady_sum
+from tablegate.sources.shared import checkpointed, has_shared_folder
 from tablegate.sources.tables import batch_slice
 
 #: Distinct keys of a batch that are sent to every task.
@@ -23,16 +25,15 @@ def _batch_totals(
 ) -> DataFrame:
     """Row counts and column sums of both sides, each side in one pass.
 
-    Counts take every curated version the batch wrote, sums only the current ones.
+    Counts take every curated version the batch wrote, sums only the current ones. Sums of doubles do not depend on the
+    order of the rows.
     """
-    zero = F.lit(0)
-    raw_sums = [F.coalesce(F.sum(col(c)), zero).cast("double").alias(c) for c in columns]
-    live = [
-        F.coalesce(F.sum(F.when(col(spec.is_current), col(c))), zero).cast("double").alias(c) for c in columns
-    ]
+    live = col(spec.is_current)
+    raw_sums = [steady_sum(raw, c).alias(c) for c in columns]
+    curated_sums = [steady_sum(curated, c, live).alias(c) for c in columns]
     rows = F.count("*").cast("double").alias(_ROWS)
     expected = batch_slice(raw, raw_batch, batch_id).agg(rows, *raw_sums)
-    actual = batch_slice(curated, spec.batch, batch_id).agg(rows, *live)
+    actual = batch_slice(curated, spec.batch, batch_id).agg(rows, *curated_sums)
     return paired(expected, actual, [_ROWS, *columns])
 
 
@@ -99,18 +100,26 @@ def missing_keys(
 ) -> DataFrame:
     """``key_coverage`` with the rows of a key merged into one row and their number.
 
-    The distinct keys of the batch come first; counting them is a job over the batch alone. If
-    they are few they go to every task that reads the curated keys, so only keys of the batch are
-    shuffled, whatever the history's size. Else both sides are reduced to distinct keys before
-    their shuffle. The count in the join condition keeps the join above the counting, so a key in
-    a third of the batch is one row by then.
+    The distinct keys of the batch come first, and are stored if the session has a folder for it, so the batch is read
+    once. Their number and the range of each key column are one row for the driver. Curated keys outside the ranges
+    cannot be in the batch: the scan leaves their row groups out, whatever the size of the batch. If the keys are few
+    they also go to every task that reads curated keys, so only keys of the batch are shuffled; else both sides are
+    reduced to distinct keys before their shuffle. The count in the join condition keeps the join above the counting,
+    so a key in a third of the batch is one row by then.
     """
     keys = cols(spec.keys)
     wanted = batch_slice(raw, raw_batch, batch_id).groupBy(*keys).agg(F.count("*").alias(COUNT))
+    if has_shared_folder(raw.sparkSession):
+        wanted = checkpointed(wanted)
+    ends = [F.struct(F.min(k).alias("low"), F.max(k).alias("high")).alias(f"_range_{i}") for i, k in enumerate(keys)]
+    *ranges, size = wanted.agg(*ends, F.count("*")).first()
+    names = [f"_key_{i}" for i in range(len(spec.keys))]
     present = curated.select(*keys)
-    if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+    for key, found in zip(keys, ranges):
+        if found["low"] is not None:
+            present = present.where((key >= F.lit(found["low"])) & (key <= F.lit(found["high"])))
+    if size <= BROADCAST_KEYS:
         present = present.join(F.broadcast(wanted.select(*keys)), list(spec.keys), "left_semi")
-    names = [f"_key_{i}" for i in range(len(spec.keys))]
     present = present.distinct().toDF(*names)
     same = [col(k) == F.col(n) for k, n in zip(spec.keys, names)]
     return wanted.join(present, [*same, F.col(COUNT) > 0], "left_anti").select(*keys, F.col(COUNT))

@@ -7,6 +7,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablegate.config import ConfigError, ForeignKey, HistorySpec, Metric, Registry, TableSpec
 from tablegate.functions.columns import COUNT, repeat_rows
@@ -179,3 +180,26 @@ def test_empty_tables(spark):
     assert history.history_profile(df, SPEC).first().asDict() == dict.fromkeys(history.PROFILE, 0)
     assert completeness.row_count_recon(bronze, df, SPEC, "B1", "batch").first()["status"] == "PASS"
     assert history.overlap_counts(df, SPEC).count() == 0
+
+
+def test_sums_of_doubles_have_the_same_bits_in_any_order(spark):
+    import math
+    import random
+
+    from tablegate.functions.sums import steady_sum
+
+    r = random.Random(9)
+    values = [r.choice([1, -1]) * r.random() * 2.0 ** r.randrange(-18, 60) for _ in range(3000)] + [None, 0.0, -0.0, 0.1]
+    found = set()
+    for parts in (1, 3, 16):
+        r.shuffle(values)
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").repartition(parts, "i")
+        found.add(df.agg(steady_sum(df, "v")).first()[0])
+    exact = math.fsum(v for v in values if v is not None)
+    (only,) = found
+    assert abs(only - exact) <= abs(exact) * 2**-50 + 2**-70 * len(values)
+    df = spark.createDataFrame([(1e30, True), (-1e30, True), (2.5, False)], "v double, c boolean")
+    assert df.agg(steady_sum(df, "v")).first()[0] == 2.5 and df.agg(steady_sum(df, "v", F.col("c"))).first()[0] == 0.0
+    assert df.limit(0).agg(steady_sum(df, "v")).first()[0] == 0.0
+    none = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    assert math.isnan(none.agg(steady_sum(none, "v")).first()[0])

@@ -99,8 +99,10 @@ def test_coverage_is_an_anti_join_of_grouped_keys(spark, stored, monkeypatch):
     # A small batch: the curated keys meet it where they are read, before any exchange.
     text = executed(frame)
     semi = text.index("LeftSemi")
-    below = text[semi : text.index("Scan", semi)]
+    below = text[semi : text.index("FileScan", semi)]
     assert "BroadcastHashJoin" in text[semi - 80 : semi] and "hashpartitioning" not in below.split("BroadcastExchange")[0]
+    # The keys of the batch are stored: the raw table is not read again.
+    assert count("FileScan", text) == 1
     monkeypatch.setattr(completeness, "BROADCAST_KEYS", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -108,11 +110,36 @@ def test_coverage_is_an_anti_join_of_grouped_keys(spark, stored, monkeypatch):
         text = executed(frame)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert count(SHUFFLE, text) == 2
-    # Counted below the join with default settings too, so equal keys are one row.
-    frame = completeness.missing_keys(stored.raw("order"), stored.curated("order"), t.ORDER, "B1")
-    plan_text = frame._jdf.queryExecution().optimizedPlan().toString()
-    assert plan_text.index("LeftAnti") < plan_text.index("count(1)")
+    assert count(SHUFFLE, text) <= 2 and count("FileScan", text) == 1
+
+
+def test_coverage_of_a_large_batch_skips_row_groups(spark, tmp_path, monkeypatch):
+    """Keys of the batch lie in one of many files; the ranges reach the scan and the other files give no rows."""
+    monkeypatch.setattr(completeness, "BROADCAST_KEYS", 1)
+    spark.range(0, 80_000, 1, 8).selectExpr("id AS k", "'B' AS _batch_id").write.parquet(f"{tmp_path}/curated")
+    raw = spark.range(30_000, 34_000).selectExpr("id + 1 AS k", "'B' AS _batch_id").union(
+        spark.createDataFrame([(None, "B"), (-7, "X"), (99_999, "X")], "k long, _batch_id string")
+    )
+    frame = completeness.missing_keys(raw, spark.read.parquet(f"{tmp_path}/curated"), HistorySpec(("k",)), "B")
+    assert [tuple(r) for r in frame.collect()] == [(None, 1)]
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,30001)" in text and "LessThanOrEqual(k,34000)" in text
+    scans = [n for n in _nodes(frame._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan parquet")]
+    read = [n.metrics().apply("numOutputRows").value() for n in scans]
+    assert read and max(read) <= 20_000
+
+
+def _nodes(plan_node):
+    """A plan's nodes, through the stages of an adaptive plan."""
+    yield plan_node
+    inner = []
+    if plan_node.nodeName() == "AdaptiveSparkPlan":
+        inner = [plan_node.executedPlan()]
+    elif hasattr(plan_node, "plan") and "QueryStage" in plan_node.nodeName():
+        inner = [plan_node.plan()]
+    children = plan_node.children()
+    for child in [*inner, *(children.apply(i) for i in range(children.length()))]:
+        yield from _nodes(child)
 
 
 def test_nothing_is_a_cross_join(stored):
