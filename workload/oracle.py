@@ -182,12 +182,14 @@ def v_duplicate(t: str) -> str:
 
 
 def v_overlap(t: str) -> str:
-    return f"""SELECT {_csv(t, 'a.')}, a.effective_start_date AS a_start, a.effective_end_date AS a_end,
-        b.effective_start_date AS b_start, b.effective_end_date AS b_end
-        FROM (SELECT *, count(*) OVER (PARTITION BY {_csv(t)}) AS versions FROM silver_{t}) a
-        JOIN silver_{t} b ON a.versions > 1 AND {_on(t, 'a', 'b')}
-        AND a.effective_start_date < b.effective_end_date AND a.effective_end_date > b.effective_start_date
-        AND a.effective_start_date <> b.effective_start_date"""
+    """Pairs of versions, put together from one list per key with several of them."""
+    known = " AND ".join(f"{k.strip()} IS NOT NULL" for k in _csv(t).split(","))
+    return f"""SELECT {_csv(t)}, a.s AS a_start, a.e AS a_end, b.s AS b_start, b.e AS b_end FROM (
+        SELECT *, unnest(v) AS b FROM (
+            SELECT *, unnest(v) AS a FROM (
+                SELECT {_csv(t)}, list(struct_pack(s := effective_start_date, e := effective_end_date)) AS v
+                FROM silver_{t} WHERE {known} GROUP BY {_csv(t)} HAVING count(*) > 1)))
+        WHERE a.s < b.e AND a.e > b.s AND a.s <> b.s"""
 
 
 def v_chain(t: str) -> str:
