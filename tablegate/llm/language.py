@@ -9,6 +9,7 @@ likelihood falls by less than the penalty for a further parameter.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +29,9 @@ SAMPLE = 20_000
 BUCKETS = 1 << 15
 ROUNDS = 8
 _CACHE = 1 << 16
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Characters that count as words but are no letters: Roman numerals, fractions and the like.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and c.isalnum() and not c.isalpha())
+_LETTERS = re.compile(f"[^\\W\\d_{re.escape(_NUMBERS)}]+")
 _PART = 512
 
 

@@ -368,6 +368,17 @@ def test_language_of_held_out_documents(docs):
     assert len(right) > 20 and np.mean(right) >= 0.95
 
 
+def test_number_characters_are_no_letters(spark, docs):
+    """The words are runs of characters of the Unicode categories of letters."""
+    import unicodedata
+
+    letters = {chr(c) for c in range(0x30000) if unicodedata.category(chr(c))[0] == "L"}
+    assert {chr(c) for c in range(0x30000) if language._LETTERS.fullmatch(chr(c))} == letters
+    texts = [(1, "½ ²"), (2, "Ⅷ"), (3, "12 ٣ ①"), (4, "_ – !"), (5, "Ⅷa")]
+    got = language.identified(spark.createDataFrame(texts, "doc_id long, text string"), language.fit(docs)).collect()
+    assert {r["doc_id"] for r in got if r["lang_pred"] == language.UNKNOWN} == {1, 2, 3, 4}
+
+
 def test_language_mixture_and_odd_rows(spark, docs, odd):
     model = language.fit(docs)
     english = docs.where("lang = 'en' and length(text) > 1000").first()["text"]
