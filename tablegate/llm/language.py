@@ -31,6 +31,7 @@ ROUNDS = 8
 _CACHE = 1 << 16
 #: Characters that count as words but are no letters: Roman numerals, fractions and the like.
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and c.isalnum() and not c.isalpha())
+_WORDS = re.compile(r"[^\W\d_]+")
 _LETTERS = re.compile(f"[^\\W\\d_{re.escape(_NUMBERS)}]+")
 _PART = 512
 
@@ -42,7 +43,10 @@ def grams(word: str) -> list[int]:
 
 
 def words(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+    """Runs of letters. The pattern that knows number characters is slow, so it only reads texts that have some."""
+    lower = (text or "").lower()
+    found = _WORDS.findall(lower)
+    return found if not found or "".join(found).isalpha() else _LETTERS.findall(lower)
 
 
 @dataclass
