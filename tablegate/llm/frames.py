@@ -38,10 +38,10 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def with_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+def with_ids(rows: DataFrame, ids: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Rows joined to a stored table of ids; the ids go to every task only if they are counted to be few."""
     few = ids.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(ids) if few else ids, key)
+    return rows.join(F.broadcast(ids) if few else ids, key, how)
 
 
 def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:

@@ -2,8 +2,9 @@
 
 A pair can only reach the threshold if it shares shingles among the smallest hashes of both (a prefix). Prefixes that
 are a little longer than that share several, so each document may leave out as many of its most frequent ones as the
-surplus allows and still meets every partner. What is left ties documents to blocks. Blocks with frequent passages
-are tied once more, by the rarest quarter of whole sets, and within a block a signature tree finds the links.
+surplus allows and still meets every partner. The sets of a shingle are ordered by size, and a gap that no link can
+cross parts them. What is left tells which documents may have a partner at all; their whole sets are tied to blocks by
+their rarest quarter, and within a block a signature tree finds the links.
 
 Equal sets are one entry from the first shuffle on. Only whether documents are connected is kept, never all pairs.
 Blocks of more than ``BLOCK`` entries are cut: each part is joined with one pivot, and only entries that are not
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm import signature_tree as st
-from tablegate.llm.frames import components, few_rows, split_by, stored, with_ids
+from tablegate.llm.frames import components, few_bytes, few_rows, split_by, stored, with_ids
 from tablegate.llm.words import mix, shingles, word_hashes
 
 PERCENT = 75
@@ -56,8 +57,13 @@ def _sets(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.unique(shingles(w)) for w in word_hashes(texts)]
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows and few bytes; their hashes take about ten times the text."""
+    return few_bytes(few_rows(batches), "text", 4 << 20)
+
+
 def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
+    for batch in _cut(batches):
         sets = _sets(batch)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([digest(s) for s in sets], pa.int64()), pa.array(map(len, sets), pa.int64())],
@@ -66,16 +72,17 @@ def _identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
+    for batch in _cut(batches):
         sets = [s for s in _sets(batch) if len(s)]
-        sizes = np.array([prefix(len(s)) for s in sets], np.int64)
+        most = np.array([len(s) for s in sets], np.int64)
+        sizes = np.array([prefix(n) for n in most.tolist()], np.int64)
         names = np.repeat(np.array([digest(s) for s in sets], np.int64), sizes)
         low = np.concatenate([s[:k] for s, k in zip(sets, sizes, strict=True)]) if sets else np.empty(0, np.uint64)
-        yield from _rows({"h": low.view(np.int64), "d": names})
+        yield from _rows({"h": low.view(np.int64), "n": np.repeat(most, sizes), "d": names})
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in few_rows(batches):
+    for batch in _cut(batches):
         rows = zip(_sets(batch), batch.column("d").to_pylist(), strict=True)
         # Another text of a repeated doc_id has another digest.
         blobs = pa.array([s.tobytes() if digest(s) == d else None for s, d in rows], pa.binary())
@@ -84,10 +91,12 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few_bytes(batches, "tokens", 4 << 20):
         sets = [np.frombuffer(x, np.int64) for x in batch.column("tokens").to_pylist()]
-        names = np.repeat(np.array(batch.column("d")), [len(s) for s in sets])
-        yield from _rows({"h": np.concatenate(sets) if sets else np.empty(0, np.int64), "d": names})
+        sizes = np.array([len(s) for s in sets], np.int64)
+        names = np.repeat(np.array(batch.column("d")), sizes)
+        tokens = np.concatenate(sets) if sets else np.empty(0, np.int64)
+        yield from _rows({"h": tokens, "n": np.repeat(sizes, sizes), "d": names})
 
 
 def _rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -96,47 +105,69 @@ def _rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c[k : k + _ROWS]) for c in columns.values()], list(columns))
 
 
+class _Runs:
+    """Where the sets of a shingle, in order of size, have a gap that no link can cross: rows of one run and its first.
+
+    Sets between two of like sizes are of like sizes too, so all that can link are in one run.
+    """
+
+    def __init__(self) -> None:
+        self.h, self.n, self.first = 0, 0, None
+
+    def firsts(self, h: np.ndarray, n: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """The first set of the run of each row; a run may go on from the rows before."""
+        before_h, before_n = np.concatenate(([self.h], h[:-1])), np.concatenate(([self.n], n[:-1]))
+        new = (h != before_h) | (100 * before_n < PERCENT * n)
+        new[0] |= self.first is None
+        first = np.concatenate(([0 if self.first is None else self.first], d[new]))[np.cumsum(new)]
+        self.h, self.n, self.first = int(h[-1]), int(n[-1]), int(first[-1])
+        return first
+
+
 def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a stream sorted by (h, d), the rows whose h is in two sets or more, with its frequency and first set."""
-    held_h = held_d = np.empty(0, np.int64)
-    hot_h, hot_first = None, 0
+    """Of a stream sorted by (h, n, d), the rows whose h is in two sets of like sizes or more.
+
+    Each has the frequency of h and the first set of its run. Rows of a run that is not yet seen to the end are kept.
+    """
+    empty = np.empty(0, np.int64)
+    held_h, held_n, held_d = empty, empty, empty
+    hot_h, runs = None, _Runs()
 
-    def out(h: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def out(h: np.ndarray, n: np.ndarray, d: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(h):
             return
-        new = np.concatenate(([True], h[1:] != h[:-1]))
-        at = np.flatnonzero(new)
+        first = runs.firsts(h, n, d)
+        at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         count = np.diff(np.append(at, len(h)))
-        first, often = np.repeat(d[at], count), np.repeat(count, count)
+        often = np.repeat(count, count)
         if hot_h is not None:
-            same = h == hot_h
-            first, often = np.where(same, hot_first, first), np.where(same, _OFTEN, often)
-        keep = often > 1
+            often = np.where(h == hot_h, _OFTEN, often)
+        # A row alone in its run cannot link by h. The last row stays, as its run may go on.
+        keep = (often > 1) & ((first != d) | np.append(first[1:] == d[:-1], True))
         yield from _rows({"d": d[keep], "h": h[keep], "often": np.minimum(often[keep], _OFTEN), "first": first[keep]})
 
     for batch in batches:
         h = np.concatenate([held_h, np.asarray(batch.column("h"))])
+        n = np.concatenate([held_n, np.asarray(batch.column("n"))])
         d = np.concatenate([held_d, np.asarray(batch.column("d"))])
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-        h, d = h[fresh], d[fresh]
+        h, n, d = h[fresh], n[fresh], d[fresh]
         begin = int(np.searchsorted(h, h[-1])) if len(h) else 0
         if len(h) - begin >= _OFTEN:
             # The last shingle is frequent already: pass its rows on, but for one that tells repeats apart.
             if hot_h != h[-1]:
-                yield from out(h[:begin], d[:begin])
-                hot_h, hot_first = int(h[-1]), int(d[begin])
-                h, d = h[begin:], d[begin:]
-            yield from out(h[:-1], d[:-1])
-            held_h, held_d = h[-1:], d[-1:]
-        else:
-            yield from out(h[:begin], d[:begin])
-            held_h, held_d = h[begin:], d[begin:]
-    yield from out(held_h, held_d)
+                yield from out(h[:begin], n[:begin], d[:begin])
+                hot_h = int(h[-1])
+                h, n, d = h[begin:], n[begin:], d[begin:]
+            begin = len(h) - 1
+        yield from out(h[:begin], n[:begin], d[:begin])
+        held_h, held_n, held_d = h[begin:], n[begin:], d[begin:]
+    yield from out(held_h, held_n, held_d)
 
 
 def _ties(shared: DataFrame, sizes: DataFrame, rare_first: bool) -> DataFrame:
-    """Edges (a, b) from the shared shingles that a set must keep to meet every partner.
+    """Edges (a, b) from the shared shingles that a set must keep to meet every partner of its run.
 
     ``rare_first``: ``shared`` is of whole sets, so the rarest quarter is a prefix in order of frequency; shingles of
     one set alone come first and count. Else it is of prefixes, and the most frequent ones within the surplus go.
@@ -150,7 +181,8 @@ def _ties(shared: DataFrame, sizes: DataFrame, rare_first: bool) -> DataFrame:
 
 
 def _sorted_by_shingle(rows: DataFrame) -> DataFrame:
-    return rows.repartition("h").sortWithinPartitions("h", "d").mapInArrow(_shared_rows, "d long, h long, often long, first long")
+    rows = rows.repartition("h").sortWithinPartitions("h", "n", "d")
+    return rows.mapInArrow(_shared_rows, "d long, h long, often long, first long")
 
 
 def _load(table: pa.Table) -> list[np.ndarray]:
@@ -208,32 +240,30 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     named = stored(docs.mapInArrow(_identify, "doc_id long, d long, n long"))
     sizes = named.where("n > 0 and doc_id is not null").groupBy("d")
     sizes = sizes.agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    low = _sorted_by_shingle(docs.select("text").mapInArrow(_prefixes, "h long, d long"))
-    edges = _ties(low, sizes.select("d", "n"), False)
-    blocks = _sized(components(edges))
-    ids = stored(sizes.join(blocks, F.col("d") == F.col("node")).select("doc_id", "d", "block", "size"))
-    sets = with_ids(docs, ids, "doc_id").select("text", "d", "block", "size")
-    sets = stored(sets.mapInArrow(_whole, "d long, block long, size long, tokens binary"))
-    large = sets.where(F.col("size") > BLOCK)
-    again = _sorted_by_shingle(large.select("d", "tokens").mapInArrow(_explode, "h long, d long"))
-    tied = _sized(components(_ties(again, sizes.select("d", "n"), True)))
-    small = sets.where(F.col("size") <= BLOCK).select("d", "block", "size", "tokens")
-    large = large.select("d", "tokens").join(tied.withColumnRenamed("node", "d"), "d").select("d", "block", "size", "tokens")
+    sizes = stored(sizes)
+    low = _sorted_by_shingle(docs.select("text").mapInArrow(_prefixes, "h long, n long, d long"))
+    met = _ties(low, sizes.select("d", "n"), False).select(F.explode(F.array("a", "b")).alias("d")).distinct()
+    ids = stored(sizes.join(met, "d").select("doc_id", "d"))
+    sets = with_ids(docs, ids, "doc_id").select("text", "d")
+    sets = stored(sets.mapInArrow(_whole, "d long, tokens binary"))
+    again = _sorted_by_shingle(sets.mapInArrow(_explode, "h long, n long, d long"))
+    blocks = _sized(components(_ties(again, sizes.select("d", "n"), True)))
+    cut = with_ids(sets, stored(blocks.withColumnRenamed("node", "d")), "d").select("d", "block", "size", "tokens")
     parts = F.ceil(F.col("size") / BLOCK)
-    cut = stored(small.union(large).withColumn("part", F.pmod(F.xxhash64("d"), parts)))
+    cut = stored(cut.withColumn("part", F.pmod(F.xxhash64("d"), parts)))
     links = stored(_link(cut))
     roots = components(links)
     rest = _loose(cut, roots)
     if not rest.isEmpty():
         roots = components(links.union(stored(_compare_rest(cut, roots, rest))))
-    return _answer(named, roots)
+    return _answer(named, sizes, roots)
 
 
 def _sized(groups: DataFrame) -> DataFrame:
     """(node, root) to (node, block, size)."""
     groups = stored(groups)
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    return groups.join(sizes, "root").select("node", F.col("root").alias("block"), "size")
+    sizes = stored(groups.groupBy("root").agg(F.count("*").alias("size")))
+    return with_ids(groups, sizes, "root").select("node", F.col("root").alias("block"), "size")
 
 
 def _link(cut: DataFrame) -> DataFrame:
@@ -268,10 +298,12 @@ def _compare_rest(cut: DataFrame, roots: DataFrame, rest: DataFrame) -> DataFram
     return pairs.sortWithinPartitions("block", "part", "rest", "d").mapInArrow(_across, "a long, b long").distinct()
 
 
-def _answer(named: DataFrame, roots: DataFrame) -> DataFrame:
-    rows = named.join(roots.withColumnRenamed("node", "d"), "d", "left")
-    rows = rows.withColumn("key", F.when(F.col("n") > 0, F.coalesce("root", "d")))
-    least = rows.groupBy("key").agg(F.min("doc_id").alias("least")).where("key is not null")
-    rows = rows.join(least, "key", "left")
+def _answer(named: DataFrame, sizes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The smallest doc_id of each group, found over distinct sets; a set of very many documents is one row there."""
+    linked = stored(sizes.select("d", "doc_id").join(roots.withColumnRenamed("node", "d"), "d"))
+    least = stored(linked.groupBy("root").agg(F.min("doc_id").alias("least")))
+    linked = with_ids(linked, least, "root").select("d", "least")
+    alone = sizes.select("d", F.col("doc_id").alias("least")).join(linked, "d", "left_anti")
+    rows = with_ids(named, stored(linked.union(alone)), "d", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"))

@@ -85,8 +85,33 @@ def test_frequent_shingles_are_streamed():
 
     h = np.repeat([1, 2, 3, 4], [2, 9000, 1, 5000])
     d = np.concatenate([np.arange(k) for k in (2, 9000, 1, 5000)])
-    table = pa.table({"h": h, "d": d})
+    table = pa.table({"h": h, "n": np.full(len(h), 7), "d": d})
     out = pa.Table.from_batches(jaccard._shared_rows(iter(table.to_batches(1000))))
     got = out.to_pydict()
     assert sorted(zip(got["h"], got["d"])) == [(x, y) for x, y in zip(h.tolist(), d.tolist()) if x != 3]
     assert set(zip(got["h"], got["often"], got["first"])) == {(1, 2, 0), (2, 4096, 0), (4, 4096, 0)}
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_sizes_part_the_sets_of_a_shingle(size):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(1, 10, 5), (1, 13, 6), (1, 17, 7), (1, 23, 8), (2, 23, 8), (2, 30, 9), (2, 31, 1), (2, 50, 2), (3, 50, 2), (3, 50, 4)]
+    table = pa.table(dict(zip(("h", "n", "d"), np.array(rows).T)))
+    out = pa.Table.from_batches(jaccard._shared_rows(iter(table.to_batches(size)))).to_pydict()
+    first = {(h, d): f for h, d, f in zip(out["h"], out["d"], out["first"])}
+    # 17 to 23 is a gap, 23 to 30 is none; rows that end a batch may stay without a partner.
+    assert [first.get(k) for k in ((1, 5), (1, 6), (1, 7))] == [5, 5, 5]
+    assert [first.get(k) for k in ((2, 8), (2, 9), (2, 1))] == [8, 8, 8]
+    assert [first.get(k) for k in ((3, 2), (3, 4))] == [2, 2]
+    assert first.get((1, 8), 8) == 8 and first.get((2, 2), 2) == 2
+
+
+def test_dense_sizes_and_gaps_equal_brute_force(spark):
+    """Documents around one passage whose sizes lie close together, with their neighbours just within or out of reach."""
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"x{k}y{i}" for i in range(k)]) for k in range(0, 60, 2)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.jaccard_groups(df).collect()), key=str) == brute(rows)
