@@ -6,6 +6,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
@@ -76,6 +77,25 @@ def test_mixture_repeats_and_drops(spark, docs):
         assert times[key] <= 2 * n
 
 
+CLASHING = ("size", "key", "copy", "times", "score", "lang_pred", "r", "d", "n", "row", "taken", "least", "block")
+
+
+@pytest.mark.parametrize("stage", [s for _, s in cp.STAGES[:-1]], ids=lambda f: f.__name__)
+def test_clashing_columns_come_back_with_their_rows(spark, docs, stage):
+    mine = docs.select("*", *[F.concat_ws("/", F.lit(c), "doc_id").alias(c) for c in CLASHING])
+    out = stage(spark, mine, SF)
+    assert out.columns == mine.columns
+    plain = texts(stage(spark, docs, SF))
+    rows = out.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == plain
+    assert all(r[c] == (c if r["doc_id"] is None else f"{c}/{r['doc_id']}") for r in rows for c in CLASHING)
+
+
+@pytest.mark.parametrize("stage", [s for _, s in cp.STAGES], ids=lambda f: f.__name__)
+def test_empty_tables_stay_empty(spark, docs, stage):
+    assert stage(spark, docs.limit(0), SF).count() == 0
+
+
 def test_whole_pipeline(spark):
     rows = cp.run(spark, SF).collect()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
