@@ -143,14 +143,18 @@ class Pipeline:
         run = _Run(self, tier, options)
         run.log_run(Status.RUNNING)
         rows: list[CheckRow] = []
+        logging = False
         try:
             for spec in specs:
                 rows += self._run_table(tier, spec, options)
+            logging = True
             run.log_checks(rows)
             if tier == RECON:
                 run.log_snapshots(rows)
         except Exception as e:
-            run.log_checks(rows, quiet=True)
+            # An append that failed may have been done all the same, so it is never tried twice in a run.
+            if not logging:
+                run.log_checks(rows, quiet=True)
             run.log_run(Status.ERROR, rows, str(e))
             raise
         status = overall([r.status for r in rows])
@@ -248,6 +252,10 @@ class _Run:
         names = options.tables
         self.table_name = names if isinstance(names, str) and names else ",".join(names or ()) or "ALL"
 
+    def _row_id(self, row: CheckRow) -> str:
+        """The same for a check of a run, however often its row is made."""
+        return str(uuid.uuid5(uuid.UUID(self.run_id), row.check.full_name))
+
     def log_run(self, status: Status, rows: Sequence[CheckRow] = (), error: str | None = None) -> None:
         running = status is Status.RUNNING
         counts = [None] * 4
@@ -276,7 +284,7 @@ class _Run:
     def log_checks(self, rows: Sequence[CheckRow], quiet: bool = False) -> None:
         made = [
             (
-                str(uuid.uuid4()),
+                self._row_id(r),
                 self.run_id,
                 self.options.pipeline_run_id,
                 self.options.batch_id,
@@ -309,7 +317,7 @@ class _Run:
     def log_snapshots(self, rows: Sequence[CheckRow]) -> None:
         made = [
             (
-                str(uuid.uuid4()),
+                self._row_id(r),
                 self.run_id,
                 self.started_at.date(),
                 r.check.table,

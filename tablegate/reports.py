@@ -119,6 +119,54 @@ def slowest_checks(
     )
 
 
+def day_totals(checks: DataFrame) -> DataFrame:
+    """Totals of each check on each day; adding them up gives those of any period and any coarser group."""
+    return checks.groupBy(F.to_date("checked_at").alias("check_date"), "tier_name", "table_name", "check_name").agg(
+        F.count("*").alias("run_count"),
+        F.count_if(F.col("status") == "PASS").alias("passed"),
+        F.count_if(F.col("status") == "FAIL").alias("failed"),
+        F.count_if(F.col("status") == "WARN").alias("warned"),
+        F.count("execution_ms").alias("timed"),
+        F.sum("execution_ms").alias("total_ms"),
+        F.max("execution_ms").cast("bigint").alias("max_ms"),
+    )
+
+
+def pass_rate_trend_of_days(totals: DataFrame, as_of: date | None = None, days: int = 30) -> DataFrame:
+    """``pass_rate_trend`` from totals of days."""
+    period = totals.where(F.col("check_date") >= _since(as_of, days))
+    total, passed = F.sum("run_count"), F.sum("passed")
+    return (
+        period.groupBy("check_date", "tier_name")
+        .agg(
+            total.alias("total"),
+            passed.alias("passed"),
+            F.sum("failed").alias("failed"),
+            F.sum("warned").alias("warned"),
+            F.round((passed * 100).cast("double") / total, 1).alias("pass_rate_pct"),
+        )
+        .orderBy(F.col("check_date").desc(), "tier_name")
+    )
+
+
+def slowest_checks_of_days(
+    totals: DataFrame, as_of: date | None = None, days: int = 30, top: int = 20
+) -> DataFrame:
+    """``slowest_checks`` from totals of days."""
+    names = ["check_name", "table_name", "tier_name"]
+    return (
+        totals.where(F.col("check_date") >= _since(as_of, days))
+        .groupBy(*names)
+        .agg(
+            F.round(F.sum("total_ms") / F.nullif(F.sum("timed"), F.lit(0)), 0).alias("avg_ms"),
+            F.max("max_ms").alias("max_ms"),
+            F.sum("run_count").alias("run_count"),
+        )
+        .orderBy(F.col("avg_ms").desc(), *names)
+        .limit(top)
+    )
+
+
 def check_drilldown(
     checks: DataFrame, check_name: str, since: date, top: int = 10
 ) -> DataFrame:

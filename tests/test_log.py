@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablegate import log, reports
 from tablegate.config import ConfigError
@@ -99,6 +100,66 @@ def test_last_run_row_wins(spark):
     assert found == {"a": "PASS", "b": "RUNNING", "c": "ERROR"}
 
 
+RUN_EVENT = "run_id string, pipeline_run_id string, batch_id string, table_name string, tier int, started_at timestamp, completed_at timestamp, status string"
+
+
+def test_open_and_replaced_runs_are_not_published(spark):
+    at = lambda d: datetime(2024, 1, d)
+    rows = [
+        ("killed", "p", "B", "ALL", 1, at(1), None, "RUNNING"),
+        ("broken", "p", "B", "ALL", 1, at(2), None, "RUNNING"),
+        ("broken", "p", "B", "ALL", 1, at(2), at(2), "ERROR"),
+        ("failed", "p", "B", "ALL", 1, at(3), at(3), "FAIL"),
+        ("again", "p", "B", "ALL", 1, at(4), at(4), "PASS"),
+        # The last attempt is an error, and these two have nothing that replaces them.
+        ("last", "p", "B", "ALL", 1, at(5), at(5), "ERROR"),
+        ("other tier", "p", "B", "ALL", 2, at(1), at(1), "ERROR"),
+        ("no pipeline", None, None, None, 1, at(1), at(1), "ERROR"),
+        ("no pipeline again", None, None, None, 1, at(2), at(2), "PASS"),
+    ]
+    found = log.unpublished_runs(spark.createDataFrame(rows, RUN_EVENT)).collect()
+    assert sorted(r["run_id"] for r in found) == ["broken", "killed"]
+    assert log.unpublished_runs(spark.createDataFrame([], RUN_EVENT)).count() == 0
+
+
+def checked(spark, *rows):
+    """Rows (run_id, day, name, status, ms) of the check log."""
+    made = spark.createDataFrame(list(rows), "run_id string, checked_at timestamp, check_name string, status string, ms long")
+    fixed = {"check_id": "c", "tier_name": "Completeness", "table_name": "t", "check_category": "x", "severity": "y"}
+    made = made.withColumns({c: F.lit(v) for c, v in fixed.items()}).withColumn("tier", F.lit(1).cast("tinyint"))
+    made = made.withColumnRenamed("ms", "execution_ms")
+    schema = spark.createDataFrame([], " ".join(log.CHECK_COLUMNS.split())).schema
+    absent = [f for f in schema if f.name not in made.columns]
+    return made.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]).select(schema.names)
+
+
+@pytest.mark.parametrize("schema", [None, "validation_days"])
+def test_reports_of_days_equal_reports_of_checks(spark, tmp_path, schema):
+    store = log.ValidationLog(spark, str(tmp_path), schema).ensure()
+    at = lambda d, h=0: datetime(2024, 1, d, h)
+    trend = lambda f: [tuple(r) for r in f.collect()]
+    store.write(log.CHECK, checked(spark, ("r", at(1), "a", "PASS", 10), ("r", at(2, 23), "a", "FAIL", 15), ("r", at(2), "b", "WARN", None)))
+    store.refresh_days(date(2024, 1, 1), date(2024, 1, 3))
+    store.refresh_days(date(2024, 1, 1), date(2024, 1, 3))
+    # Late rows of an old day and rows of a new one; a day that is not refreshed stays as it was.
+    store.write(log.CHECK, checked(spark, ("s", at(1, 5), "a", "FAIL", 21), ("s", at(3), "b", "PASS", None)))
+    store.refresh_days(date(2024, 1, 1), date(2024, 1, 1))
+    assert {(r["check_date"].day, r["check_name"], r["run_count"]) for r in store.days().collect()} == {(1, "a", 2), (2, "a", 1), (2, "b", 1)}
+    store.refresh_days(date(2024, 1, 3), date(2024, 1, 3))
+    for as_of, days in ((date(2024, 1, 31), 30), (date(2024, 1, 31), 29), (date(2024, 1, 3), 0)):
+        assert trend(reports.pass_rate_trend_of_days(store.days(), as_of, days)) == trend(reports.pass_rate_trend(store.checks(), as_of, days))
+        assert trend(reports.slowest_checks_of_days(store.days(), as_of, days)) == trend(reports.slowest_checks(store.checks(), as_of, days))
+    # A run that turns out to be open takes its rows along, and the day is empty then.
+    opened = ("s", "p", "B", "ALL", 1, "x", at(1), "RUNNING")
+    columns = "run_id string, pipeline_run_id string, batch_id string, table_name string, tier tinyint, tier_name string, started_at timestamp, status string"
+    event = spark.createDataFrame([opened], columns)
+    schema_of_runs = spark.createDataFrame([], " ".join(log.RUN_COLUMNS.split())).schema
+    event = event.select(*[F.col(f.name) if f.name in event.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema_of_runs])
+    store.write(log.RUN, event)
+    store.refresh_days(date(2024, 1, 1), date(2024, 1, 3))
+    assert {(r["check_date"].day, r["check_name"], r["run_count"]) for r in store.days().collect()} == {(1, "a", 1), (2, "a", 1), (2, "b", 1)}
+
+
 def test_summary_prefers_fail_over_warn(spark):
     rows = [("a", "PASS"), ("a", "WARN"), ("b", "WARN"), ("b", "FAIL"), ("c", "PASS")]
     found = run_summary(spark.createDataFrame(rows, "run_id string, status string")).collect()

@@ -78,6 +78,52 @@ def test_defects_block_the_run_and_are_logged(spark, stored, tmp_path):
     assert set(json.loads(samples["order.fk_customer_id_to_customer"])[0]) == {"order_id", "customer_id"}
 
 
+class Killed(BaseException):
+    """Ends a run without letting it close."""
+
+
+class Stops(log.ValidationLog):
+    """Does the append that ``stop`` picks, then fails."""
+
+    def __init__(self, spark, path, stop, error):
+        super().__init__(spark, path)
+        self.stop, self.error, self.writes = stop, error, []
+
+    def write(self, table, df):
+        super().write(table, df)
+        self.writes.append(table)
+        if self.stop(self.writes):
+            raise self.error
+
+
+def test_a_killed_attempt_is_not_counted_twice(spark, stored, tmp_path):
+    options = RunOptions("B1", "run-9", tables="customer")
+    p = pipeline(spark, stored[True], tmp_path)
+    p.log = Stops(spark, str(tmp_path), lambda done: done[-1] is log.CHECK, Killed()).ensure()
+    p.log.writes.clear()
+    with pytest.raises(Killed):
+        p.run_tier(COMPLETENESS, options)
+    assert p.log.read(log.CHECK).count() == 2 and p.log.checks().count() == 0
+    p.log = log.ValidationLog(spark, str(tmp_path))
+    outcome = p.run_tier(COMPLETENESS, options)
+    assert p.log.read(log.CHECK).count() == 4
+    rows = p.log.checks().collect()
+    assert len(rows) == 2 and {r["run_id"] for r in rows} == {outcome.run_id}
+
+
+def test_checks_are_appended_once_if_a_later_append_fails(spark, stored, tmp_path):
+    options = RunOptions("B1", "run-9", run_recon=True)
+    p = pipeline(spark, stored[True], tmp_path)
+    p.log = Stops(spark, str(tmp_path), lambda done: done[-1] is log.SNAPSHOT, RuntimeError("lost")).ensure()
+    with pytest.raises(RuntimeError, match="lost"):
+        p.run_tier(RECON, options)
+    assert p.log.read(log.CHECK).count() == 4 and p.log.runs().first()["status"] == "ERROR"
+    p.log = log.ValidationLog(spark, str(tmp_path))
+    outcome = p.run_tier(RECON, options)
+    for rows in (p.log.checks().collect(), p.log.snapshots().collect()):
+        assert len(rows) == 4 and {r["run_id"] for r in rows} == {outcome.run_id}
+
+
 def test_one_table(spark, stored, tmp_path):
     p = pipeline(spark, stored[True], tmp_path)
     outcome = p.run_tier(COMPLETENESS, RunOptions("B1", tables="customer"))

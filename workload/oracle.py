@@ -441,7 +441,7 @@ def oracle_sql() -> dict[str, str]:
     span_pairs = """WITH spans AS MATERIALIZED (SELECT event_type, {s} AS s, {e} AS e FROM events)
         SELECT a.event_type, count(*) AS pairs FROM spans a JOIN spans b ON a.event_type = b.event_type
         AND a.s < b.e AND a.e > b.s AND a.s <> b.s GROUP BY a.event_type"""
-    return {
+    sql = {
         "scan_batch_slice": _with(["bronze_order"], "SELECT * FROM bronze_order WHERE _batch_id = 'B1'"),
         "scan_current": _with(
             order,
@@ -568,6 +568,11 @@ def oracle_sql() -> dict[str, str]:
         "check_log_roundtrip": _with(
             ["check_log"], f"SELECT * EXCLUDE (checked_at), {_TS.format('checked_at')} FROM check_log"
         ),
+        "check_log_published": _with(
+            ["run_log"],
+            f"""SELECT check_id, run_id, {_TS.format('checked_at')}, check_name, status FROM check_log
+            WHERE run_id IN (SELECT run_id FROM run_log WHERE status <> 'PASS')""",
+        ),
         "run_upsert": _with(
             ["run_log"],
             f"""SELECT run_id, pipeline_run_id, batch_id, table_name, tier, tier_name, {_TS.format('started_at')},
@@ -621,3 +626,5 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY check_log.checked_at DESC LIMIT 10)""",
         ),
     }
+    # Reports from totals of days are the reports themselves.
+    return sql | {f"{name}_of_days": sql[name] for name in ("pass_rate_trend", "slowest_checks")}

@@ -414,6 +414,17 @@ def check_log_roundtrip(spark, sf):
     return _big(_text_time(store.checks(), "checked_at"), "tier")
 
 
+@query
+def check_log_published(spark, sf):
+    """The check log as readers see it while runs that passed have not been closed yet."""
+    store = log.ValidationLog(spark, shared_folder(spark)).ensure()
+    opened, ended = t.run_events(spark, sf)
+    store.write(log.RUN, opened)
+    store.write(log.CHECK, t.check_log(spark, sf).drop("check_date"))
+    store.write(log.RUN, ended.where("status <> 'PASS'"))
+    return _text_time(store.checks(), "checked_at").select("check_id", "run_id", "checked_at", "check_name", "status")
+
+
 @query
 def run_upsert(spark, sf):
     """Rows of opened runs replaced by those of ended ones."""
@@ -455,6 +466,28 @@ def pass_rate_trend(spark, sf):
     return reports.pass_rate_trend(t.check_log(spark, sf), AS_OF)
 
 
+def _day_totals(spark, sf):
+    """Totals of the days of the log: first of most checks, then with all of them, late ones included."""
+    store = log.ValidationLog(spark, shared_folder(spark)).ensure()
+    rows = t.check_log(spark, sf).drop("check_date")
+    store.write(log.CHECK, rows.where("status <> 'FAIL'"))
+    first, last = rows.agg(F.to_date(F.min("checked_at")), F.to_date(F.max("checked_at"))).first()
+    store.refresh_days(first, last)
+    store.write(log.CHECK, rows.where("status = 'FAIL'"))
+    store.refresh_days(first, last)
+    return store.days()
+
+
+@query
+def pass_rate_trend_of_days(spark, sf):
+    return reports.pass_rate_trend_of_days(_day_totals(spark, sf), AS_OF)
+
+
+@query
+def slowest_checks_of_days(spark, sf):
+    return reports.slowest_checks_of_days(_day_totals(spark, sf), AS_OF)
+
+
 @query
 def recon_drift(spark, sf):
     return reports.recon_drift(t.snapshots(spark, sf))
