@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.frames import few_rows
+from tablegate.llm.frames import few_bytes, few_rows
 
 # Fixed value: the pattern that splits text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,6 +36,8 @@ _ODD_SPACE = re.compile(r"\s\x20")
 _SAFE_SPACE = re.compile(r"(?<=\S)\x20")
 #: Pieces whose tokens are kept in a worker, and characters of the longest one.
 _CACHE, _CACHE_PIECE = 1 << 19, 64
+#: What a worker remembers from batch to batch where rows keep their other columns.
+_KEPT = 1 << 16
 
 
 def _byte_letters() -> dict[str, int]:
@@ -121,6 +123,12 @@ class Codec:
         self.fits[key] = good
         return good
 
+    def forget(self, over: int = 0) -> None:
+        """Empty each memory of pairs, words and pieces that holds more than ``over`` of them."""
+        for known in (self.fits, self.words, self.known):
+            if len(known) > over:
+                known.clear()
+
     def longest(self, text: str, at: int) -> int:
         """The longest token at a place of a text of bytes."""
         return next(self.matches.iter_long(text, at, min(len(text), at + self.longest_size)))[1]
@@ -242,7 +250,8 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 def _tokens(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_codec = codec(path)
-        for batch in few_rows(batches):
+        for batch in few_bytes(few_rows(batches), "text"):
+            with_codec.forget(_KEPT)
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = [np.frombuffer(with_codec.encode(t), "<u4") for t in texts]
             back = [with_codec.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]
@@ -252,6 +261,8 @@ def _tokens(path: str):
             rest = pa.Table.from_batches([batch]).drop_columns("text")
             rest = rest.append_column("n_tokens", pa.array(np.diff(ends), pa.int64())).append_column("tokens", tokens)
             yield from rest.append_column("round_trip", pa.array(back)).combine_chunks().to_batches()
+        # Workers live on and serve other steps.
+        with_codec.forget()
 
     return run
 

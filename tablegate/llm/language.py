@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 import sys
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,25 +20,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.frames import few_rows, stored
+from tablegate.llm.frames import few_bytes, few_rows, stored
+from tablegate.llm.words import mix
 
 UNKNOWN = "und"
 #: The model is fitted on at most so many labelled documents, those with the smallest hashes of their doc_id.
 SAMPLE = 20_000
 BUCKETS = 1 << 15
 ROUNDS = 8
-_CACHE = 1 << 16
 #: Characters that count as words but are no letters: Roman numerals, fractions and the like.
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and c.isalnum() and not c.isalpha())
 _WORDS = re.compile(r"[^\W\d_]+")
 _LETTERS = re.compile(f"[^\\W\\d_{re.escape(_NUMBERS)}]+")
 _PART = 512
+#: Words whose trigrams are looked up at once.
+_BLOCK = 4096
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of a word's letter trigrams, with marks for its two ends."""
-    raw = f"<{word}>"
-    return [zlib.crc32(raw[k : k + 3].encode()) % BUCKETS for k in range(len(raw) - 2)]
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' letter trigrams, with marks for the two ends of each, and how many each word has."""
+    codes = np.frombuffer(f"<{'><'.join(words)}>".encode("utf-32-le"), "<u4").astype(np.uint64)
+    inside = (codes[:-2] != ord(">")) & (codes[1:-1] != ord(">"))
+    # Three code points of 21 bits fit into 64 bits.
+    triples = codes[:-2] << np.uint64(42) | codes[1:-1] << np.uint64(21) | codes[2:]
+    return (mix(triples[inside]) % np.uint64(BUCKETS)).astype(np.int64), np.fromiter(map(len, words), np.int64, len(words))
 
 
 def words(text: str | None) -> list[str]:
@@ -55,36 +59,29 @@ class Model:
     #: Log-probability of each trigram bucket in each language.
     table: np.ndarray
 
-    def __post_init__(self) -> None:
-        self.known: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
-
-    def index(self, word: str) -> int:
-        """Row of the word's log-likelihoods in ``rows``."""
-        at = self.known.get(word)
-        if at is None:
-            at = self.known[word] = len(self.rows)
-            self.rows.append(self.table[grams(word)].sum(0))
-        return at
-
-    def trim(self) -> None:
-        if len(self.rows) > _CACHE:
-            self.known.clear()
-            self.rows.clear()
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log-likelihood of each word in each language; a word has a letter at least."""
+        out = np.empty((len(words), self.table.shape[1]))
+        for k in range(0, len(words), _BLOCK):
+            buckets, sizes = grams(words[k : k + _BLOCK])
+            out[k : k + _BLOCK] = np.add.reduceat(self.table[buckets], np.cumsum(sizes) - sizes)
+        return out
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trigram counts of each language in each batch, as one block of numbers."""
-    for batch in few_rows(batches, 5000):
+    for batch in few_bytes(few_rows(batches, 5000), "text", 4 << 20):
         bags: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             bags.setdefault(lang, Counter()).update(words(text))
         out = []
         for bag in bags.values():
-            total = np.zeros(BUCKETS, np.int64)
-            for word, n in bag.items():
-                np.add.at(total, grams(word), n)
-            out.append(total.tolist())
+            if not bag:
+                out.append([0] * BUCKETS)
+                continue
+            buckets, sizes = grams(list(bag))
+            times = np.repeat(np.fromiter(bag.values(), np.int64, len(bag)), sizes)
+            out.append(np.bincount(buckets, times, BUCKETS).astype(np.int64).tolist())
         columns = [pa.array(list(bags), pa.string()), pa.array(out, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["lang", "counts"])
 
@@ -156,16 +153,15 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
     if not model.languages:
         return names, scores
     for s in range(0, len(texts), _PART):
-        model.trim()
         bags = [Counter(words(t)) for t in texts[s : s + _PART]]
         at = [k for k, bag in enumerate(bags) if bag]
         if not at:
             continue
-        index = np.array([model.index(w) for k in at for w in bags[k]])
+        place: dict[str, int] = {}
+        where = np.array([place.setdefault(w, len(place)) for k in at for w in bags[k]])
         counts = np.array([n for k in at for n in bags[k].values()], np.float64)
         starts = np.cumsum([0, *(len(bags[k]) for k in at[:-1])])
-        used, where = np.unique(index, return_inverse=True)
-        logs = np.stack([model.rows[i] for i in used.tolist()])
+        logs = model.scores(list(place))
         share = select(np.exp(logs - logs.max(1, keepdims=True))[where], counts, starts)
         best = share.argmax(1)
         for row, k in enumerate(at):
@@ -175,7 +171,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
 
 def _identify(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in few_rows(batches):
+        for batch in few_bytes(few_rows(batches), "text"):
             found, scores = predict(model, batch.column("text").to_pylist())
             more = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score"])
