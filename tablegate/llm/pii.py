@@ -7,14 +7,17 @@ numbers and words are examples of other things. What the wide patterns propose b
 with the probability that Elkan and Noto's estimate gives it from how often base spans stand in such a context. On
 documents kept apart, the threshold of each kind is set so that nearly all base spans would be found by their context.
 Spans above it that overlap no base span are added.
+
+Every document teaches. Examples become bins of their features, equal ones a row with their number. A level of a tree
+takes one pass over these rows, which adds up slopes and bends for each node, feature and bin; only such sums reach the
+driver. They are sums of integers, so they do not depend on how rows are spread.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,14 +28,17 @@ from pyspark.sql import functions as F
 from tablegate.llm.frames import few_rows, stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: The trees are fitted on the candidates of at most so many documents, those with the smallest hashes of doc_id.
-SAMPLE = 20_000
-#: Examples for each of these documents on average that are used at most, those with the smallest hashes of document and place.
+#: Examples for each document of ``sampled`` on average, those with the smallest hashes of document and place.
 EXAMPLES = 20
 TREES, DEPTH, RATE, BINS = 40, 3, 0.3, 16
+#: Slopes, bends and probabilities are added up in this unit.
+_UNIT = 2.0**-20
+#: Rows of distinct binned examples that the driver holds itself; more stay in a table, with the same sums.
+FEW = 50_000
 #: Share of the base spans kept apart that must lie above a threshold, base spans that this needs, and the threshold of
 #: rarer kinds, which is also the highest there is.
 RECALL, EVIDENCE, LIKELY = 0.95, 30, 0.5
+_STEPS = 1 << 14
 #: Plain numbers and words of a document that are examples of other things, at most.
 _PLAIN_NUMBERS, _PLAIN_WORDS = 8, 4
 
@@ -185,54 +191,86 @@ class Trees:
         return np.stack([np.searchsorted(e, x[:, k], "right") for k, e in enumerate(self.edges)], 1)
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-        bins = self._bins(x)
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        self.edges = [_edges(*np.unique(c, return_counts=True)) for c in x.T]
+        rows = {"bins": self._bins(x), "n": np.ones(len(y), np.int64)}
+        return self.grown(lambda f: f(rows), lambda r: (y, np.ones(len(y))))
+
+    def grown(self, total: Callable, aim: Callable) -> Trees:
+        """Trees for binned rows. ``total`` adds up an array function over all parts of them, ``aim`` gives the
+        probability to reach and the weight of each row of a part; ``n`` is how often a row stands."""
+        mean = total(lambda r: _aim_sums(r, aim))
+        p = np.clip(mean[0] / max(mean[1], 1), 1e-3, 1 - 1e-3)
         self.base = float(np.log(p / (1 - p)))
-        total = np.full(len(y), self.base)
         for _ in range(TREES):
-            p = 1 / (1 + np.exp(-total))
-            tree = self._tree(bins, y - p, p * (1 - p))
-            self.trees.append(tree)
-            total += self._walk(tree, bins)
+            self.trees.append(self._tree(total, aim))
         return self
 
-    def _tree(self, bins: np.ndarray, slope: np.ndarray, bend: np.ndarray) -> list[tuple[int, int, float]]:
-        nodes: list[tuple[int, int, float]] = []
-        rows = {0: np.arange(len(slope))}
-        for node in range(2 ** (DEPTH + 1) - 1):
-            at = rows.pop(node, np.empty(0, int))
-            g, h = slope[at], bend[at]
-            nodes.append((-1, 0, float(RATE * g.sum() / (h.sum() + 1.0))))
-            if node >= 2**DEPTH - 1 or len(at) < 10:
-                continue
-            best = (1e-6, -1, 0)
-            for k in range(bins.shape[1]):
-                left_g = np.cumsum(np.bincount(bins[at, k], g, BINS + 1))[:-1]
-                left_h = np.cumsum(np.bincount(bins[at, k], h, BINS + 1))[:-1]
-                right_g, right_h = g.sum() - left_g, h.sum() - left_h
-                gain = left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1) - g.sum() ** 2 / (h.sum() + 1)
-                cut = int(gain.argmax())
-                if gain[cut] > best[0]:
-                    best = (float(gain[cut]), k, cut)
-            if best[1] >= 0:
-                nodes[node] = (best[1], best[2], nodes[node][2])
-                low = bins[at, best[1]] <= best[2]
-                rows[2 * node + 1], rows[2 * node + 2] = at[low], at[~low]
+    def _tree(self, total: Callable, aim: Callable) -> list[tuple[int, int, float]]:
+        leaf = lambda g, h: float(RATE * g / (h + 1.0))
+        nodes: list[tuple[int, int, float]] = [(-1, 0, 0.0)] * (2 ** (DEPTH + 1) - 1)
+        for level in range(DEPTH):
+            # The closure holds its own copy of what is known so far.
+            sums = total(lambda r, so_far=[*nodes], level=level: self._sums(r, aim, so_far, level)) * _UNIT
+            for node, (g, h, n) in enumerate(sums, 2**level - 1):
+                whole_g, whole_h = g[0].sum(), h[0].sum()
+                if level == 0:
+                    nodes[0] = (-1, 0, leaf(whole_g, whole_h))
+                if n[0].sum() < 10:
+                    continue
+                left_g, left_h = np.cumsum(g, 1)[:, :-1], np.cumsum(h, 1)[:, :-1]
+                right_g, right_h = whole_g - left_g, whole_h - left_h
+                gain = left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1) - whole_g**2 / (whole_h + 1)
+                k, cut = np.unravel_index(gain.argmax(), gain.shape)
+                if gain[k, cut] > 1e-6:
+                    nodes[node] = (int(k), int(cut), nodes[node][2])
+                    nodes[2 * node + 1] = (-1, 0, leaf(left_g[k, cut], left_h[k, cut]))
+                    nodes[2 * node + 2] = (-1, 0, leaf(right_g[k, cut], right_h[k, cut]))
         return nodes
 
-    def _walk(self, tree: list[tuple[int, int, float]], bins: np.ndarray) -> np.ndarray:
-        split, cut, value = (np.array(c) for c in zip(*tree, strict=True))
+    def _sums(self, rows: dict, aim: Callable, tree: list[tuple[int, int, float]], level: int) -> np.ndarray:
+        """Slopes, bends and numbers of rows in units by (node of the level, which of the three, feature, bin)."""
+        bins, n = rows["bins"], rows["n"]
+        y, weight = aim(rows)
+        p = self.of_bins(bins)
+        values = [np.rint(v * weight / _UNIT) * n for v in (y - p, p * (1 - p), np.ones(len(n)))]
+        node = self._places(tree, bins, level) - (2**level - 1)
+        here = node >= 0
+        out = np.zeros((2**level, 3, bins.shape[1], BINS))
+        for k in range(bins.shape[1]):
+            at = node[here] * BINS + bins[here, k]
+            for j, v in enumerate(values):
+                out[:, j, k] = np.bincount(at, v[here], 2**level * BINS).reshape(-1, BINS)
+        return out
+
+    def _places(self, tree: list[tuple[int, int, float]], bins: np.ndarray, depth: int) -> np.ndarray:
+        split, cut, _ = (np.array(c) for c in zip(*tree, strict=True))
         node = np.zeros(len(bins), int)
-        for _ in range(DEPTH):
+        for _ in range(depth):
             inner = split[node] >= 0
             right = bins[np.arange(len(bins)), np.maximum(split[node], 0)] > cut[node]
             node = np.where(inner, 2 * node + 1 + right, node)
-        return value[node]
+        return node
+
+    def of_bins(self, bins: np.ndarray) -> np.ndarray:
+        total = np.full(len(bins), self.base)
+        for tree in self.trees:
+            total += np.array([v for _, _, v in tree])[self._places(tree, bins, DEPTH)]
+        return 1 / (1 + np.exp(-total))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        bins = self._bins(x)
-        return 1 / (1 + np.exp(-(self.base + sum(self._walk(t, bins) for t in self.trees))))
+        return self.of_bins(self._bins(x))
+
+
+def _edges(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Where the bins of a feature begin, from its sorted values and their weights."""
+    upto = np.cumsum(weights)
+    at = np.searchsorted(upto, np.linspace(0, upto[-1], BINS + 1)[1:-1])
+    return np.unique(values[np.minimum(at, len(values) - 1)])
+
+
+def _aim_sums(rows: dict, aim: Callable) -> np.ndarray:
+    y, weight = aim(rows)
+    return np.array([(np.rint(v / _UNIT) * rows["n"]).sum() for v in (y * weight, weight)])
 
 
 @dataclass
@@ -293,66 +331,150 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "x", "y"])
 
 
+_EXAMPLE = "doc_id long, start long, x array<double>, y int"
+
+
 def sampled(docs: DataFrame, sample: int) -> DataFrame:
-    """Examples (doc_id, start, x, y) of ``sample`` documents, ``EXAMPLES * sample`` at most: whichever hashes choose."""
+    """Examples (doc_id, start, x, y) of ``sample`` documents, ``EXAMPLES * sample`` at most: whichever hashes choose.
+
+    For a look at examples; ``fit`` uses all of them.
+    """
     ids = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(stored(ids)), "doc_id", "left_semi")
-    found = rows.mapInArrow(_examples, "doc_id long, start long, x array<double>, y int")
+    found = rows.mapInArrow(_examples, _EXAMPLE)
     return found.orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "x").limit(EXAMPLES * sample)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Trees and thresholds from at most ``sample`` documents, those with the smallest hashes of doc_id, and of their
-    examples at most ``EXAMPLES * sample``, those with the smallest hashes of doc_id and start.
+def fit(docs: DataFrame) -> Model:
+    """Trees and thresholds from all documents with a doc_id.
 
     Three quarters of the documents, by a hash of doc_id, train the trees and the others set the thresholds. Open
     candidates of a kind with fewer than ``EVIDENCE`` base spans teach nothing, and its threshold is ``LIKELY``: the
     words that tell of it and the contexts of other kinds decide. A table without any base span has such a model too.
     """
-    found = sampled(docs, sample).toArrow()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    apart = (F.crc32(F.col("doc_id").cast("string")) % 4 == 3).alias("apart")
+    found = stored(rows.mapInArrow(_examples, _EXAMPLE).select(F.col("x")[0].cast("int").alias("kind"), "y", apart, "x"))
     before, label = _prior()
-    if found.num_rows:
-        wide = found.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        x = np.concatenate([before, wide.reshape(found.num_rows, -1)])
-        y = np.concatenate([label, found.column("y").to_numpy()])
-        apart = [zlib.crc32(str(i).encode()) % 4 == 3 for i in found.column("doc_id").to_pylist()]
-        apart = np.concatenate([np.zeros(len(label), bool), apart])
-    else:
-        x, y, apart = before, label, np.zeros(len(label), bool)
-    return _model(x, y, apart)
-
-
-def _model(x: np.ndarray, y: np.ndarray, apart: np.ndarray) -> Model:
-    kind = x[:, 0].astype(int)
-    told = np.bincount(kind[(y == _YES) & ~apart], minlength=len(KINDS))
-    use = ~apart & ((y != _OPEN) | (told >= EVIDENCE)[kind])
+    # Each feature has a bounded number of values, so their counts fit the driver whatever the table.
+    values = found.select("kind", "y", "apart", F.posexplode("x").alias("feature", "value"))
+    counts = values.groupBy("kind", "y", "apart", "feature", "value").count().toArrow()
+    kind, y, apart, feature, value, n = (counts.column(k).to_numpy() for k in range(6))
+    size, many = before.shape[1], len(label)
+    kind = np.concatenate([kind, np.repeat(before[:, 0].astype(int), size)])
+    y, apart = np.concatenate([y, np.repeat(label, size)]), np.concatenate([apart.astype(bool), np.zeros(many * size, bool)])
+    feature, value = np.concatenate([feature, np.tile(np.arange(size), many)]), np.concatenate([value, before.ravel()])
+    n = np.concatenate([n, np.ones(many * size, np.int64)])
+    once = feature == 0
+    number = lambda label: np.bincount(kind[once & (y == label) & ~apart], n[once & (y == label) & ~apart], len(KINDS))
+    told, plain = number(_YES), number(_PLAIN)
     # Plain numbers and words are no candidates: more of them than half the base spans would outvote these everywhere.
-    for k in range(len(KINDS)):
-        plain = np.flatnonzero(use & (y == _PLAIN) & (kind == k))
-        use[plain] = False
-        use[plain[np.linspace(0, len(plain) - 1, min(len(plain), told[k] // 2)).astype(int)]] = True
-    x_fit, y_fit, kind_fit = x[use], y[use], kind[use]
-    soft = (y_fit == _YES).astype(float)
-    if (y_fit == _OPEN).any():
-        labelled = Trees().fit(x_fit, soft)
-        g = np.clip(labelled.predict(x_fit), 1e-6, 1 - 1e-6)
-        for k in range(len(KINDS)):
-            # The share of personal data that base spans are, as their mean probability to be labelled.
-            held = apart & (y == _YES) & (kind == k)
-            c = labelled.predict(x[held]).mean() if held.any() else g[(y_fit == _YES) & (kind_fit == k)].mean()
-            c = float(np.clip(c, 0.01, 0.99))
-            todo = (y_fit == _OPEN) & (kind_fit == k)
-            soft[todo] = np.clip((1 - c) / c * g[todo] / (1 - g[todo]), 0, 1)
-    trees = Trees().fit(x_fit, soft)
-    return Model(trees, tuple(_threshold(trees, x[apart & (y == _YES) & (kind == k)]) for k in range(len(KINDS))))
-
-
-def _threshold(trees: Trees, base: np.ndarray) -> float:
-    """The highest probability, ``LIKELY`` at most, that a share of ``RECALL`` of the base spans reaches."""
-    if len(base) < EVIDENCE:
+    weights = np.zeros((len(KINDS), 4))
+    weights[:, [_YES, _NO]] = 1.0
+    weights[:, _OPEN] = told >= EVIDENCE
+    weights[:, _PLAIN] = np.minimum(1.0, told // 2 / np.maximum(plain, 1))
+    weight = weights[kind, y] * ~apart * n
+    trees = Trees()
+    for k in range(size):
+        at = (feature == k) & (weight > 0)
+        each, place = np.unique(value[at], return_inverse=True)
+        trees.edges.append(_edges(each, np.bincount(place, weight[at])))
+    prior = _rows(trees._bins(before), before[:, 0].astype(int), label, np.zeros(many, bool), np.ones(many, np.int64))
+    coded = found.mapInArrow(_coded(trees), "code long, kind int, y int, apart boolean")
+    return _model(trees, weights, prior, stored(coded.groupBy("code", "kind", "y", "apart").agg(F.count("*").alias("n"))))
+
+
+def _rows(bins: np.ndarray, kind: np.ndarray, y: np.ndarray, apart: np.ndarray, n: np.ndarray) -> dict:
+    return {"bins": bins, "kind": kind, "y": y, "apart": apart, "n": n}
+
+
+def _coded(trees: Trees):
+    """The bins of each example in one number, four bits for each feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            bins = trees._bins(x) if len(x) else np.zeros((0, len(trees.edges)), np.int64)
+            code = (bins << 4 * np.arange(len(trees.edges))).sum(1)
+            columns = [pa.array(code, pa.int64()), *(batch.column(c) for c in ("kind", "y", "apart"))]
+            yield pa.RecordBatch.from_arrays(columns, ["code", "kind", "y", "apart"])
+
+    return run
+
+
+def _decoded(table: pa.Table | pa.RecordBatch, size: int) -> dict:
+    code, kind, y, n = (np.asarray(table.column(c)) for c in ("code", "kind", "y", "n"))
+    return _rows((code[:, None] >> 4 * np.arange(size)) & 15, kind, y, np.asarray(table.column("apart")).astype(bool), n)
+
+
+def _total(prior: dict, coded: DataFrame) -> Callable:
+    """A function that adds up an array function over the prior and all stored rows."""
+    size = prior["bins"].shape[1]
+    if coded.count() <= FEW:
+        held = _decoded(coded.toArrow(), size)
+        return lambda f: f(prior) + f(held)
+
+    def total(f: Callable) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = None
+            for batch in batches:
+                if batch.num_rows:
+                    part = f(_decoded(batch, size))
+                    parts = part if parts is None else parts + part
+            if parts is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([parts.tobytes()], pa.binary())], ["sums"])
+
+        first = f(prior)
+        found = coded.mapInArrow(run, "sums binary").toArrow().column("sums").to_pylist()
+        return first + sum(np.frombuffer(x).reshape(first.shape) for x in found)
+
+    return total
+
+
+def _model(trees: Trees, weights: np.ndarray, prior: dict, coded: DataFrame) -> Model:
+    total = _total(prior, coded)
+    weigh = lambda r: np.where(r["apart"], 0.0, weights[r["kind"], r["y"]])
+    labelled = Trees(trees.edges).grown(total, lambda r: ((r["y"] == _YES).astype(float), weigh(r)))
+    # The share of personal data that base spans are, as their mean probability to be labelled.
+    seen = total(lambda r: _base_sums(labelled, r))
+    held, fitted = (seen[k, :, 0] * _UNIT / np.maximum(seen[k, :, 1], 1) for k in (1, 0))
+    share = np.clip(np.where(seen[1, :, 1] > 0, held, fitted), 0.01, 0.99)
+
+    def aim(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        g = np.clip(labelled.of_bins(rows["bins"]), 1e-6, 1 - 1e-6)
+        c = share[rows["kind"]]
+        soft = np.clip((1 - c) / c * g / (1 - g), 0, 1)
+        return np.where(rows["y"] == _OPEN, soft, rows["y"] == _YES), weigh(rows)
+
+    trees.grown(total, aim)
+    return Model(trees, tuple(map(_threshold, total(lambda r: _base_levels(trees, r)))))
+
+
+def _base_sums(trees: Trees, rows: dict) -> np.ndarray:
+    """Of base spans, the sum of their probabilities in units and their number, by (apart, kind)."""
+    out = np.zeros((2, len(KINDS), 2))
+    at = rows["y"] == _YES
+    p = np.rint(trees.of_bins(rows["bins"][at]) / _UNIT)
+    np.add.at(out, (rows["apart"][at].astype(int), rows["kind"][at]), np.stack([p, np.ones(len(p))], 1) * rows["n"][at, None])
+    return out
+
+
+def _base_levels(trees: Trees, rows: dict) -> np.ndarray:
+    """The number of base spans kept apart by kind and probability, in steps of 1 / ``_STEPS``."""
+    out = np.zeros((len(KINDS), _STEPS))
+    at = (rows["y"] == _YES) & rows["apart"]
+    step = np.minimum(trees.of_bins(rows["bins"][at]) * _STEPS, _STEPS - 1).astype(int)
+    np.add.at(out, (rows["kind"][at], step), rows["n"][at])
+    return out
+
+
+def _threshold(levels: np.ndarray) -> float:
+    """The highest step, ``LIKELY`` at most, that a share of ``RECALL`` of the base spans reaches."""
+    n = levels.sum()
+    if n < EVIDENCE:
         return LIKELY
-    p = np.sort(trees.predict(base))
-    return min(LIKELY, float(p[int((1 - RECALL) * len(p))]))
+    step = int(np.searchsorted(np.cumsum(levels), int((1 - RECALL) * n), "right"))
+    return min(LIKELY, max(step, 0.5) / _STEPS)
 
 
 def spans(model: Model, texts: list[str]) -> tuple[list[list[tuple[int, int, int]]], list[list[tuple[int, int, int]]]]:

@@ -531,6 +531,28 @@ def test_examples_of_all_documents_are_sampled(spark):
     assert {r["doc_id"] for r in got} == set(range(40)) and max(r["start"] for r in got) > 2000
 
 
+def test_all_documents_teach(spark):
+    """Also those that a choice of 20,000 by their hashes leaves out."""
+    ids = spark.range(20_400).selectExpr("id AS doc_id").selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()
+    last = {r["doc_id"] for r in sorted(ids, key=lambda r: (r["h"], r["doc_id"]))[20_000:]}
+    rows = [(i, f"quux +1 555-234-{i % 8999 + 1000} plugh" if i in last else "nothing here") for i in range(20_400)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert pii.spans(model, ["quux 555-234-4567 plugh"])[1] == [[(5, 3, 17)]]
+
+
+def test_fit_is_the_same_wherever_examples_lie(spark, monkeypatch):
+    """Few distinct examples are fitted in the driver, many in tasks: the sums are equal, however rows are spread."""
+    rng = random.Random(7)
+    rows = [(i, ". ".join(_sentences(rng, i))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(pii, "TREES", 3)
+    here = pii.fit(docs)
+    monkeypatch.setattr(pii, "FEW", 0)
+    there = pii.fit(docs.repartition(5))
+    assert here.thresholds == there.thresholds
+    assert here.trees.base == there.trees.base and here.trees.trees == there.trees.trees
+
+
 # --- helpers and registration -------------------------------------------------------------
 
 
