@@ -205,10 +205,16 @@ class _Blocks:
         if not self._units:
             return
         codes = np.concatenate(self._codes)
-        pairs, place, totals = np.unique(codes, return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(self._units)), [u["n_links"] for u in self._units])
+        # Arrays as long as a block's links go as soon as they are used: every worker holds some of them at once.
+        self._codes = []
+        pairs, totals = np.unique(codes, return_counts=True)
+        own = np.searchsorted(pairs, codes)
+        del codes
         # Each unit names its distinct pairs once, with their number.
-        own, times = np.unique(owner * max(1, len(pairs)) + place, return_counts=True)
+        own += np.repeat(np.arange(len(self._units)) * max(1, len(pairs)), [u["n_links"] for u in self._units])
+        own.sort()
+        begins = np.flatnonzero(np.diff(own, prepend=-1))
+        own, times = own[begins], np.diff(begins, append=len(own))
         sizes = np.bincount(own // max(1, len(pairs)), minlength=len(self._units))
         for unit, n in zip(self._units, sizes.tolist(), strict=True):
             unit["size"] = n

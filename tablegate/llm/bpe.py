@@ -36,6 +36,8 @@ _ODD_SPACE = re.compile(r"\s\x20")
 _SAFE_SPACE = re.compile(r"(?<=\S)\x20")
 #: Pieces whose tokens are kept in a worker, and characters of the longest one.
 _CACHE, _CACHE_PIECE = 1 << 19, 64
+#: Pairs of tokens that are remembered.
+_FITS = 1 << 17
 #: What a worker remembers from batch to batch where rows keep their other columns.
 _KEPT = 1 << 16
 
@@ -87,7 +89,7 @@ class Codec:
         self.fits: dict[tuple[int, int], bool] = {}
         self.offsets = np.cumsum([0, *map(len, self.texts)])
         self.bytes = np.frombuffer(b"".join(self.texts), np.uint8)
-        #: Ids of words of the pattern, and of pieces between spaces.
+        #: Ids of words of the pattern that are parts of pieces, and of pieces between spaces.
         self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.stop = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -118,7 +120,7 @@ class Codec:
                 before, left = left, outer
             else:
                 before, right = right + 1, inner
-        if len(self.fits) >= _CACHE:
+        if len(self.fits) >= _FITS:
             self.fits.clear()
         self.fits[key] = good
         return good
@@ -160,7 +162,8 @@ class Codec:
 
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
-        if got is None:
+        # A word may be known as a piece.
+        if got is None and (got := self.known.get(word)) is None:
             got = array("I", self.merge(word.encode())).tobytes()
             if len(word) <= _CACHE_PIECE:
                 if len(self.words) >= _CACHE:
@@ -170,7 +173,11 @@ class Codec:
 
     def _piece(self, piece: str) -> bytes:
         words = _WORDS.findall(piece)
-        out = self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
+        if len(words) == 1:
+            # It is remembered once, as a piece.
+            out = self.words.pop(piece, None) or array("I", self.merge(piece.encode())).tobytes()
+        else:
+            out = b"".join(map(self._word, words))
         if len(piece) <= _CACHE_PIECE:
             if len(self.known) >= _CACHE:
                 self.known.clear()

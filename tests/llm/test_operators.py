@@ -553,6 +553,15 @@ def test_fit_is_the_same_wherever_examples_lie(spark, monkeypatch):
     assert here.trees.base == there.trees.base and here.trees.trees == there.trees.trees
 
 
+def test_words_that_are_pieces_are_remembered_once():
+    """A worker holds many words; few of them are only parts of pieces."""
+    codec = bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("one two, three", "two three, one; two's one", "one's three two one"):
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert " two" in codec.known and not set(codec.words) & set(codec.known)
+
+
 # --- helpers and registration -------------------------------------------------------------
 
 
