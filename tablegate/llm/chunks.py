@@ -128,6 +128,21 @@ def _windows(least: int):
 _WINDOW = "digest long, doc_id long, begin int, stop int, before int, words int"
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by all their columns without those equal to the row before."""
+    last: list | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [np.asarray(c) for c in batch.columns]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last is None or last != [c[0] for c in columns]
+        last = [c[-1] for c in columns]
+        yield batch if new.all() else batch.filter(pa.array(new))
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of windows sorted by (digest, doc_id, begin), those at two places or more, with the first document of these.
 
@@ -176,12 +191,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shared_windows(docs: DataFrame, least_words: int = PASSAGE_WORDS) -> DataFrame:
     """Windows of (doc_id, text) that stand at another place too, each with ``extra``: the decision to drop it.
 
-    Of equal windows the first by doc_id and place stays. Whatever is dropped still stands at an earlier place.
+    Of equal windows the first by doc_id and place stays. Whatever is dropped still stands at an earlier place. Windows
+    of equal rows are given once; only where other texts of the same doc_id have another window at the same place can
+    there be equal ones.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     rows = rows.mapInArrow(_windows(least_words), _WINDOW)
-    rows = rows.repartition("digest").sortWithinPartitions("digest", "doc_id", "begin")
-    return rows.mapInArrow(_shared, f"{_WINDOW}, first_doc_id long, extra boolean").drop("digest").distinct()
+    rows = rows.repartition("digest").sortWithinPartitions("digest", "doc_id", "begin", "stop", "before", "words")
+    return rows.mapInArrow(lambda b: _shared(_once(b)), f"{_WINDOW}, first_doc_id long, extra boolean").drop("digest")
 
 
 def _opens(which: str) -> Column:

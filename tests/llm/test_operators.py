@@ -240,6 +240,18 @@ def test_repeats_are_dropped_but_for_the_first(spark):
     assert drops == said and {d for d, _, _ in drops} == {2, 3, 4, 6}
 
 
+def test_equal_windows_are_merged_where_they_are_sorted(spark):
+    """Repeated rows of a document give its windows once, without a shuffle of all shared windows for it."""
+    rng = random.Random(5)
+    one = _random_words(rng, 90)
+    docs = spark.createDataFrame([(1, one), (2, one), (1, one), (2, one), (1, one)], "doc_id long, text string")
+    shared = chunks.shared_windows(docs)
+    got = [tuple(r) for r in shared.collect()]
+    assert got and len(got) == len(set(got)) and {r[0] for r in got} == {1, 2}
+    assert "Aggregate" not in shared._jdf.queryExecution().optimizedPlan().toString()
+    assert chunks.repeated_passages(docs.where("doc_id = 1")).count() == 0
+
+
 def test_words_are_parted_by_any_white_space(spark):
     rng = random.Random(14)
     words = _random_words(rng, 60).split()
