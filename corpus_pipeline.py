@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.llm import bpe, jaccard, language, mixing, pii
-from tablegate.llm.frames import find_package, stored, with_ids
+from tablegate.llm.frames import find_package, short_batches, stored, with_ids
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _SEED = 23
@@ -33,6 +33,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     If no document has a language to learn from, all with a letter stay. A text that is null or has no letter is
     ``und``; an empty table stays empty. Other columns pass through, whatever their names.
     """
+    short_batches(spark)
     model = language.fit(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -47,6 +48,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without words and rows with a null doc_id are in no group and stay.
     """
+    short_batches(spark)
     groups = stored(jaccard.jaccard_groups(docs))
     # Rows of one doc_id with other texts are told apart by their texts below.
     repeated = stored(groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id"))
@@ -72,6 +74,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     All documents stay; a null text stays null with its ``n_chars``, an empty one has none. Other columns pass through.
     """
+    short_batches(spark)
     rows = docs.select(_carried([c for c in docs.columns if c != "text"]), "text")
     found = pii.without_pii(rows, pii.fit(docs))
     size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
@@ -98,6 +101,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives the text back. A null text has no ids."""
+    short_batches(spark)
     return bpe.encoded(docs.select("doc_id", "lang", "source", "text"), VOCABULARY)
 
 

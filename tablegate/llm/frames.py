@@ -16,6 +16,9 @@ from tablegate.sources.shared import shared_folder
 
 #: Ids that are sent to every task; above it, joins shuffle both sides.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of rows that Python workers get at once, which is the most that any step keeps together.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def find_package(spark: SparkSession) -> None:
@@ -26,6 +29,17 @@ def find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, known] if known else [root])
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Let Spark hand rows to Python workers in batches of ``BATCH_BYTES``, unless the session has a limit of its own.
+
+    By default a batch has 10,000 rows or 64 MB, whichever comes first. For whole texts that is mostly all of a task's
+    input, and the executor and the worker each hold it several times over; no step needs more than a part of it.
+    The limit stays with the session, as Spark reads it when a result is computed.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, so later steps do not depend on how it was made."""
     path = shared_folder(df.sparkSession)

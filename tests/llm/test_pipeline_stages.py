@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from tablegate.llm import jaccard, mixing, pii
+from tablegate.llm import frames, jaccard, mixing, pii
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,6 +97,27 @@ def test_empty_tables_stay_empty(spark, docs, stage):
     assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+@pytest.mark.parametrize("stage", [s for name, s in cp.STAGES if name != "mixture"], ids=lambda f: f.__name__)
+def test_workers_get_a_bounded_part_of_a_task(spark, docs, stage):
+    def sizes_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long = spark.range(0, 3000, 1, 1).select("id", F.repeat(F.lit("x"), 4000).alias("text"))
+    try:
+        spark.conf.unset(limit)
+        whole = Counter(map(str, stage(spark, docs, SF).collect()))
+        sizes = [r["size"] for r in long.mapInArrow(sizes_of, "size long").collect()]
+        assert sum(sizes) > 12_000_000 and max(sizes) < 1.01 * frames.BATCH_BYTES
+        # A limit of the session's own stays, and no result depends on it.
+        spark.conf.set(limit, "20000b")
+        assert Counter(map(str, stage(spark, docs, SF).collect())) == whole
+        assert spark.conf.get(limit) == "20000b"
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_whole_pipeline(spark):
     rows = cp.run(spark, SF).collect()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
