@@ -27,13 +27,17 @@ from pyspark.sql import functions as F
 
 from tablegate.llm import bpe
 from tablegate.llm.bpe import Codec
-from tablegate.llm.frames import few_bytes, split_by, stored
+from tablegate.llm.frames import few_bytes, short_batches, split_by, stored
 from tablegate.llm.pieces import SPACE, Pieces, pieces
 
 #: Bytes of a range; longer documents are spread over tasks. Fragments composed at a step, bytes of a block of pairs.
 RANGE = 1 << 16
 FAN = 16
-BLOCK = 1 << 23
+BLOCK = 1 << 21
+#: Bytes of whole texts that are aligned together; numpy arrays of 8 bytes for each take several times as much.
+_TOGETHER = 1 << 18
+#: Words of each of two generations that a worker remembers, and characters of the longest one.
+_WORDS, _LONG = 1 << 18, 64
 
 _UNIT = "key long, doc_id long, at long, n_a long, n_b long, n_groups long, n_links long, sha string, size long"
 _ENDS = ("head_a", "head_a_ends", "head_b", "head_b_ends", "tail_a", "tail_a_ends", "tail_b", "tail_b_ends")
@@ -159,11 +163,51 @@ class Tokens:
             raise ValueError(f"{path_b} puts no space before a text or has pieces with a space inside")
         self.a_sizes = np.array([*map(len, self.a.texts)], np.int64)
         self.most = max(len(self.a.texts), len(self.b.names))
+        #: Ids of words with the space before them: those of A, then those of B moved up by the size of A. Words of now,
+        #: and those of before, of which only the ones met again are kept.
+        self._words: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+
+    def _of_a(self, piece: str) -> bytes | None:
+        """Ids of A of a remembered word with the space before it."""
+        word = piece[1:] if piece[0] == " " else None
+        got = self._words.get(word) or self._before.get(word)
+        if got is None:
+            return None
+        ids, size = memoryview(got).cast("I"), len(self.a.texts)
+        return ids[: next(i for i, x in enumerate(ids) if x >= size)].tobytes()
+
+    def _known(self, every: set[str]) -> dict[str, bytes]:
+        """The words that are remembered, with all of ``every``."""
+        known, before = self._words, self._before
+        missing = [w for w in every if w not in known]
+        known.update((w, before[w]) for w in missing if w in before)
+        new = [w for w in missing if w not in before]
+        a, b = [self.a.piece(" " + w, self._of_a) for w in new], self.b.of_words(new)
+        moved = (np.frombuffer(b"".join(b), "<u4") + np.uint32(len(self.a.texts))).tobytes()
+        ends = np.cumsum([*map(len, b)], dtype=np.int64).tolist()
+        known.update((w, x + moved[i:j]) for w, x, i, j in zip(new, a, [0, *ends], ends))
+        return known
 
     def laid_out(self, texts: list[str], sizes: list[int]) -> Stream:
         """Tokens of texts that begin with their space, laid end to end."""
-        a = np.frombuffer(b"".join(map(self.a.encode, texts)), "<u4").astype(np.int64)
-        b = np.frombuffer(b"".join(self.b.encode_all(texts, as_is=True)[0]), "<u4").astype(np.int64)
+        # No token of either kind reaches across a safe space.
+        words: list[str] = []
+        for text in texts:
+            first, *rest = bpe.split(text)
+            # A text's own space is cut off like the others, unless white space follows.
+            words += [first[1:], *rest] if first else rest
+        every = set(words)
+        known = self._known(every)
+        both = np.frombuffer(b"".join([known[w] for w in words]), "<u4").astype(np.int64)
+        for w in every:
+            if len(w) > _LONG:
+                del known[w]
+        if len(known) > _WORDS:
+            self._words, self._before = {}, known
+        self.a.forget(_WORDS)
+        of_a = both < len(self.a.texts)
+        a, b = both[of_a], both[~of_a] - len(self.a.texts)
         found = Stream(a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b.sizes[b]))
         total = sum(sizes)
         if total != (found.a_ends[-1] if len(a) else 0) or total != (found.b_ends[-1] if len(b) else 0):
@@ -289,7 +333,7 @@ def _whole(tokens: Tokens, batch: pa.RecordBatch) -> tuple[list[dict], np.ndarra
 def _whole_blocks(paths: tuple[str, str], schema: pa.Schema, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, blocks = _tokens(*paths), _Blocks(0, size, schema)
-        for batch in few_bytes(batches, "text"):
+        for batch in few_bytes(batches, "text", _TOGETHER):
             yield from blocks.add(*_whole(tokens, batch))
         yield from blocks.flush()
 
@@ -436,6 +480,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, width: int = RANGE, fan:
     their pairs, groups_sha256 of ``a1,a2|b1;a3|b2,b3``. Null and empty texts, and those that hold U+2581, have no
     tokens: zeros and an empty hash. Null and repeated doc_ids pass through, other columns are not read.
     """
+    short_batches(docs.sparkSession)
     made = _made(docs, (path_a, path_b), width, fan, block)
     every = made[0]
     for df in made[1:]:

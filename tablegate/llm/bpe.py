@@ -13,7 +13,7 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import ahocorasick
@@ -49,6 +49,11 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(moved)}
 
 
+def split(text: str) -> list[str]:
+    """A text cut at the spaces that begin a word for sure, without these."""
+    return text.split(" ") if _ODD_SPACE.search(text) is None else _SAFE_SPACE.split(text)
+
+
 class Codec:
     """The tokens and merges of a file of the tokenizers library of the byte-level kind without a normalizer."""
 
@@ -160,10 +165,10 @@ class Codec:
                 last = out[-1] if out else -1
         return [self.ids[r] for r in out]
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str, known: Callable[[str], bytes | None]) -> bytes:
         got = self.words.get(word)
         # A word may be known as a piece.
-        if got is None and (got := self.known.get(word)) is None:
+        if got is None and (got := known(word)) is None:
             got = array("I", self.merge(word.encode())).tobytes()
             if len(word) <= _CACHE_PIECE:
                 if len(self.words) >= _CACHE:
@@ -171,13 +176,19 @@ class Codec:
                 self.words[word] = got
         return got
 
-    def _piece(self, piece: str) -> bytes:
+    def piece(self, piece: str, known: Callable[[str], bytes | None]) -> bytes:
+        """Ids of what begins at a safe space and ends before the next one; only its words are remembered.
+
+        ``known`` gives the ids of pieces that the caller remembers.
+        """
         words = _WORDS.findall(piece)
         if len(words) == 1:
             # It is remembered once, as a piece.
-            out = self.words.pop(piece, None) or array("I", self.merge(piece.encode())).tobytes()
-        else:
-            out = b"".join(map(self._word, words))
+            return self.words.pop(piece, None) or array("I", self.merge(piece.encode())).tobytes()
+        return b"".join([self._word(w, known) for w in words])
+
+    def _piece(self, piece: str) -> bytes:
+        out = self.piece(piece, self.known.get)
         if len(piece) <= _CACHE_PIECE:
             if len(self.known) >= _CACHE:
                 self.known.clear()
@@ -185,10 +196,7 @@ class Codec:
         return out
 
     def _plain(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text) is None:
-            first, *rest = text.split(" ")
-        else:
-            first, *rest = _SAFE_SPACE.split(text)
+        first, *rest = split(text)
         known = self.known
         out = [self._piece(first)] if first else []
         for word in rest:

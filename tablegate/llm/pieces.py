@@ -268,6 +268,10 @@ class Pieces:
                     cache.pop(x)
         return out, fresh
 
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it, which are not remembered. Words may have other spaces inside."""
+        return self._merge_all([self._parts.findall(SPACE + w.replace(" ", SPACE)) for w in words])
+
     def forget(self) -> None:
         """Forget the ids of all words."""
         self._words.clear()

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -118,3 +121,60 @@ def test_composition_is_associative():
         assert one.cut == two.cut == n and not len(one.head.a) and not len(one.tail.a)
         flat = [sum((x[i] for x in plain(left)), []) for i in range(4)]
         assert flat == [x.tolist() for x in whole.arrays()]
+
+
+def test_words_are_remembered_in_two_generations(monkeypatch):
+    """Texts cut at safe spaces have the tokens of whole texts, whatever is remembered of texts before."""
+    monkeypatch.setattr(alignment, "_WORDS", 30)
+    tokens = alignment.Tokens(A, B)
+    fresh_a, fresh_b = alignment.bpe.Codec(A), alignment.Pieces(B)
+    fresh_a.stop = None
+    r = random.Random(5)
+    odd = [" " + t for t in ODD if alignment.has_tokens(t)]
+    odd += [" " + "".join(r.choice(["a", "the", "é.", " ", " ", "  ", "\n", "\t ", "\u3000", "x1"]) for _ in range(60)) for _ in range(200)]
+    for k in range(40):
+        texts = ["", *r.sample(odd, r.randrange(0, 9)), *(odd if k == 20 else [])]
+        found = tokens.laid_out(texts, [len(t.encode()) for t in texts])
+        a = b"".join(map(fresh_a.encode, texts))
+        b = b"".join(fresh_b.encode_all(texts, as_is=True)[0])
+        assert found.a.tolist() == np.frombuffer(a, "<u4").tolist() and found.b.tolist() == np.frombuffer(b, "<u4").tolist()
+        assert all(len(w) <= 64 for w in [*tokens._words, *tokens._before])
+        assert len(tokens._words) <= 30 and len(tokens.a.words) <= 30 and len(tokens.a.fits) <= 30
+        assert not tokens.a.known and not tokens.b._words and not tokens.b._others
+
+
+def test_a_worker_holds_few_words_and_small_blocks(spark, monkeypatch):
+    """A task over very many distinct words, most of which are met once."""
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    r = random.Random(7)
+
+    def batches():
+        for k in range(12):
+            texts = [" ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(500)) for _ in range(100)]
+            yield pa.RecordBatch.from_pydict({"key": range(100 * k, 100 * k + 100), "doc_id": range(100), "text": texts})
+
+    run = alignment._whole_blocks((A, B), alignment._schema(spark), alignment.BLOCK)
+    alignment._tokens(A, B)
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        rows = sum(batch.num_rows for batch in run(batches()))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most - before < 180 << 20
+    assert rows > 1
+
+
+def test_rows_come_to_workers_in_short_batches(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+    spark.conf.unset(limit)
+    try:
+        alignment.aligned(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), A, B)
+        assert spark.conf.get(limit) == "4194304b"
+        spark.conf.set(limit, "1m")
+        alignment.aligned(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), A, B)
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.set(limit, before) if before else spark.conf.unset(limit)
